@@ -33,9 +33,11 @@ SEARCH_CATEGORY = "Cortex Search"
 DOCUMENT_CATEGORY = "Document AI"
 METERING_CATEGORY = "AI Metering"
 
+#: Usage tables by name; anything with ``tables[name]``.
 Tables = Mapping[str, DataFrame]
 
 
+
 def _line(category: Column, detail: Column | None, calls: Column | None) -> list[Column]:
     nothing = F.lit(None)
     return [
@@ -133,7 +135,7 @@ def daily_trend(tables: Tables, as_of, days=30) -> DataFrame:
 
 
 def _invalid(tables: Tables) -> DataFrame:
-    spark = next(iter(tables.values())).sparkSession
+    spark = tables["metering_daily"].sparkSession
     message = "Invalid report_type. Use: " + ", ".join(REPORTS)
     line = spark.range(1).select(F.lit(None).cast("decimal(28,9)").alias("c"))
     return _in_double(line.select(_line(F.lit("ERROR"), F.lit(message), None)))
