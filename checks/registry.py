@@ -3,7 +3,10 @@
 from checks import (  # noqa: F401
     anomaly_checks,
     attribution_checks,
+    control_checks,
+    prompt_checks,
     report_checks,
+    streaming_checks,
     tracking_checks,
     waste_checks,
 )
