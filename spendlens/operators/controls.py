@@ -15,6 +15,7 @@ from spendlens.functions.money import credit, dec, ratio, rounded
 from spendlens.functions.tags import tag_value
 from spendlens.functions.time import recent, truncated
 from spendlens.plans.running import rolling_totals, running_totals
+from spendlens.plans.small import if_small
 
 # Tag keys every call should carry.
 REQUIRED_TAG_KEYS = ("team", "project", "env")
@@ -66,7 +67,9 @@ def rolling_cap(
     if overrides is not None:
         on = [k for k in keys if k in overrides.columns]
         rolled = rolled.join(
-            overrides.select(*on, F.col("credits").cast("decimal(18,9)").alias("_cap")),
+            if_small(
+                overrides.select(*on, F.col("credits").cast("decimal(18,9)").alias("_cap"))
+            ),
             on,
             "left",
         )
@@ -90,6 +93,10 @@ def rolling_peaks(capped, keys: Sequence[str] = ("user_id", "surface")) -> DataF
     )
 
 
+def _pct(threshold: float) -> Column:
+    return dec(threshold).cast("decimal(6,2)")
+
+
 def budget_burn(
     calls,
     limits,
@@ -106,8 +113,8 @@ def budget_burn(
     crossing while the threshold is not reached.
 
     A running total over all calls of a scope would put an account-wide budget
-    into one task. Instead hourly sums find the hour in which a threshold can
-    be crossed, and only the calls of those hours are put in order.
+    into one task. Instead sums per minute find the minute in which a threshold
+    can be crossed, and only the calls of those minutes are put in order.
     """
     if as_of is not None:
         calls = recent(calls, time_col, as_of)
@@ -115,48 +122,71 @@ def budget_burn(
         scope.alias("scope"),
         F.col(time_col).alias("at"),
         truncated(calls, "month", time_col).alias("month"),
-        truncated(calls, "hour", time_col).alias("hour"),
+        truncated(calls, "minute", time_col).alias("minute"),
         credit(credit_col).alias("c"),
     )
-    up_to = Window.partitionBy("scope", "month").orderBy("hour")
-    hours = (
-        spent.groupBy("scope", "month", "hour")
+    budgets = limits.select("scope", credit("credits").alias("budget"))
+    earlier = (
+        Window.partitionBy("scope", "month")
+        .orderBy("minute")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before, spend = F.coalesce(F.col("before"), dec(0)), F.col("spend")
+    targets = {p: F.col("budget") * dec(p) * dec("0.01") for p in thresholds}
+    # A minute can hold the crossing when no earlier minute ended at the target
+    # and its charges alone, refunds left out, would reach it.
+    hits = F.array(
+        *[
+            F.when(
+                (before + F.col("most") >= target)
+                & (F.coalesce(F.col("peak"), dec(0)) < target),
+                F.struct(_pct(p).alias("pct"), "minute", before.alias("before")),
+            )
+            for p, target in targets.items()
+        ]
+    )
+    months = (
+        spent.groupBy("scope", "month", "minute")
         .agg(F.sum("c").alias("spend"), F.sum(F.greatest("c", dec(0))).alias("most"))
-        .join(limits.select("scope", credit("credits").alias("budget")), "scope")
-        .withColumn("before", F.coalesce(F.sum("spend").over(up_to.rowsBetween(
-            Window.unboundedPreceding, -1)), dec(0)))
-    )
-    steps = hours.select(
-        "*", F.explode(F.array(*[dec(t).cast("decimal(6,2)") for t in thresholds])).alias("pct")
-    ).withColumn("target", F.col("budget") * F.col("pct") * dec("0.01"))
-    sure = F.min(F.when(F.col("before") + F.col("spend") >= F.col("target"), F.col("hour")))
-    per_step = Window.partitionBy("scope", "month", "pct")
-    # Refunds can take a total back below its target within an hour, so an hour
-    # qualifies by what it could reach, up to the first that surely got there.
-    candidates = (
-        steps.withColumn("_sure", sure.over(per_step))
-        .where(F.col("before") + F.col("most") >= F.col("target"))
-        .where(F.col("_sure").isNull() | (F.col("hour") <= F.col("_sure")))
-        .select("scope", "month", "hour", "pct", "target", "before")
-    )
-    wanted = candidates.select("scope", "hour").distinct()
-    ordered = running_totals(
-        spent.join(wanted, ["scope", "hour"], "left_semi").select("scope", "hour", "at", "c"),
-        ["scope", "hour"],
-        "at",
-        ["c"],
-        F.window("at", "1 second").start,
-    ).groupBy("scope", "hour", "at").agg(F.max("running_c").alias("running_c"))
-    crossed = (
-        candidates.join(ordered, ["scope", "hour"])
-        .where(F.col("before") + F.col("running_c") >= F.col("target"))
-        .groupBy("scope", "month", "pct")
-        .agg(F.min("at").alias("crossed_at"))
+        .join(if_small(budgets), "scope")
+        .withColumn("before", F.sum("spend").over(earlier))
+        .withColumn("peak", F.max(before + spend).over(earlier))
+        .withColumn("hits", F.array_compact(hits))
+        .groupBy("scope", "month", "budget")
+        .agg(
+            F.sum("spend").alias("spend"),
+            F.flatten(F.collect_list(F.when(F.size("hits") > 0, F.col("hits")))).alias("hits"),
+        )
+        # One row per scope and month: a small exchange that all later uses share.
+        .repartition("scope", "month", "budget", "spend")
+    )
+    steps = (
+        months.select("*", F.explode(F.array(*[_pct(p) for p in thresholds])).alias("pct"))
+        .withColumn("hits", F.filter("hits", lambda h: h["pct"] == F.col("pct")))
+        .select("*", F.explode_outer("hits").alias("hit"))
+        .select("scope", "month", "budget", "spend", "pct", "hit.minute", "hit.before")
+        .withColumn("target", F.col("budget") * F.col("pct") * dec("0.01"))
+    )
+    # The clock bounds this list: it holds minutes, whatever the number of scopes.
+    minutes = steps.where(F.col("minute").isNotNull()).select("minute").distinct()
+    moments = (
+        spent.join(F.broadcast(minutes), "minute", "left_semi")
+        .groupBy("scope", "month", "minute", "at")
+        .agg(F.sum("c").alias("c"))
+    )
+    up_to = (
+        Window.partitionBy("scope", "month", "minute")
+        .orderBy("at")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    running = moments.withColumn("running", F.sum("c").over(up_to)).drop("c")
+    crossed = F.min(
+        F.when(F.col("before") + F.col("running") >= F.col("target"), F.col("at"))
     )
     return (
-        steps.groupBy("scope", "month", "pct", "budget")
-        .agg(F.sum("spend").alias("spend"))
-        .join(crossed, ["scope", "month", "pct"], "left")
+        steps.join(running, ["scope", "month", "minute"], "left")
+        .groupBy("scope", "month", "pct", "budget", "spend")
+        .agg(crossed.alias("crossed_at"))
         .select(
             "scope",
             "month",

@@ -1,0 +1,20 @@
+"""Broadcast behind a check of the size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Rows up to which a side table is broadcast.
+SMALL_ROWS = 100_000
+
+
+def if_small(side: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Hint a broadcast when the table has at most ``max_rows`` rows.
+
+    Counts at most one row more than that. A larger table keeps its ordinary
+    join, where Spark chooses. For short lists a caller builds by hand, whose
+    size Spark cannot see and would take for unlimited.
+    """
+    few = side.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(side) if few else side

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from spendlens.functions.money import PRICE_PER_CREDIT, credit, dec, dollars, ratio, rounded
 from spendlens.operators.controls import BUDGET_THRESHOLDS, CAP_HOURS, DAILY_LIMIT
+from spendlens.plans.small import if_small
 
 #: Delay of the source logs.
 LOG_DELAY = "45 minutes"
@@ -79,9 +80,8 @@ def stream_budget_burn(
     reached = F.lit(0.0)
     for step in sorted(thresholds):
         reached = F.when(used >= dec(step), F.lit(float(step))).otherwise(reached)
-    return spent.join(
-        limits.select("scope", credit("credits").alias("budget")), "scope"
-    ).select(
+    budgets = limits.select("scope", credit("credits").alias("budget"))
+    return spent.join(if_small(budgets), "scope").select(
         "scope",
         "month",
         F.col("budget").cast("double").alias("budget"),
