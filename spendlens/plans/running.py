@@ -67,7 +67,8 @@ def rolling_totals(
 ) -> DataFrame:
     """Add ``rolling_<value>``: the total over the ``hours`` up to each row.
 
-    Both ends count, as in ``RANGE BETWEEN n HOURS PRECEDING AND CURRENT ROW``.
+    Rows without a time fall into no window and are left out. Both ends count,
+    as in ``RANGE BETWEEN n HOURS PRECEDING AND CURRENT ROW``.
     Every row adds its value when it happens and takes it back one microsecond
     after the window has passed it; the rolling total is then the running total
     of those moves, which splits into blocks.

@@ -30,18 +30,23 @@ def read_log(
     return df if table is None else conform(df, table)
 
 
+def read_table(spark: SparkSession, name: str, table: str) -> DataFrame:
+    """Read a catalog table or view, conformed to a canonical table."""
+    return conform(spark.read.table(name), table)
+
+
 def write_log(
     df: DataFrame, path: str, time_col: str, *, mode: str = "append", fmt: str = "parquet"
 ) -> None:
     """Store a log under ``event_date=...`` folders, so time windows prune files.
 
-    Rows are hashed on date and a salt of the time, which gives a day of any
-    size several writers and a small day few files; sorting by time inside each
-    file gives tight min/max statistics for the window filter.
+    The rebalance hint lets Spark cut a large day into several files and put a
+    small day into one, by the sizes it sees while writing; sorting by time
+    inside each file gives tight min/max statistics for the window filter.
     """
     dated = df if EVENT_DATE in df.columns else df.withColumn(EVENT_DATE, F.to_date(time_col))
     (
-        dated.repartition(EVENT_DATE, F.pmod(F.xxhash64(time_col), F.lit(16)))
+        dated.hint("rebalance", EVENT_DATE)
         .sortWithinPartitions(EVENT_DATE, time_col)
         .write.mode(mode)
         .partitionBy(EVENT_DATE)
@@ -64,7 +69,7 @@ def refresh_rollup(
             log = log.where(F.col(EVENT_DATE) >= F.lit(since).cast("date"))
     (
         hourly_rollup(log, time_col, credit_col)
-        .repartition(EVENT_DATE)
+        .hint("rebalance", EVENT_DATE)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(EVENT_DATE)
