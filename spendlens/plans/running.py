@@ -75,20 +75,20 @@ def rolling_totals(
     """
     gone = F.col(time_col) + F.expr(f"INTERVAL '{int(hours) * 3600}.000001' SECOND")
     added = F.struct(
-        F.col(time_col).alias("at"), F.col(value).alias("_change"), F.lit(True).alias("real")
+        F.col(time_col).alias("_at"), F.col(value).alias("_change"), F.lit(True).alias("_real")
     )
     removed = F.struct(
-        gone.alias("at"), (-F.col(value)).cast(df.schema[value].dataType).alias("_change"),
-        F.lit(False).alias("real"),
+        gone.alias("_at"), (-F.col(value)).cast(df.schema[value].dataType).alias("_change"),
+        F.lit(False).alias("_real"),
     )
     moves = df.withColumn("_move", F.explode(F.array(added, removed))).select(
-        *df.columns, "_move.at", "_move._change", "_move.real"
+        *df.columns, "_move._at", "_move._change", "_move._real"
     )
     total = running_totals(
-        moves, keys, "at", ["_change"], F.window("at", block).start, prefix="_total"
+        moves, keys, "_at", ["_change"], F.window("_at", block).start, prefix="_total"
     )
     return (
-        total.where("real")
+        total.where("_real")
         .withColumnRenamed("_total_change", f"rolling_{value}")
-        .drop("at", "_change", "real")
+        .drop("_at", "_change", "_real")
     )

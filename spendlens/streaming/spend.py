@@ -38,7 +38,7 @@ def read_calls(spark: SparkSession, folder: str, schema, files: str = "*") -> Da
 
 def timed(calls: DataFrame, time_col: str, delay: str = LOG_DELAY) -> DataFrame:
     """Event time as TIMESTAMP (watermarks reject TIMESTAMP_NTZ), with a watermark."""
-    return calls.withColumn("at", F.col(time_col).cast("timestamp")).withWatermark("at", delay)
+    return calls.withColumn("_at", F.col(time_col).cast("timestamp")).withWatermark("_at", delay)
 
 
 def stream_hourly_spend(
@@ -47,7 +47,7 @@ def stream_hourly_spend(
     """Calls, credits and dollars per hour and function; rows later than ``delay`` drop."""
     return (
         timed(calls, time_col, delay)
-        .groupBy(F.window("at", "1 hour").alias("w"), "function_name")
+        .groupBy(F.window("_at", "1 hour").alias("w"), "function_name")
         .agg(F.count(F.lit(1)).alias("ai_calls"), F.sum(credit(credit_col)).alias("c"))
         .select(
             F.col("w.start").alias("hour_bucket"),
@@ -103,7 +103,7 @@ def stream_sliding_spend(
     """Coarse rolling spend: 24-hour windows that start every hour."""
     return (
         timed(calls, time_col, delay)
-        .groupBy(F.window("at", f"{hours} hours", slide).alias("w"), *keys)
+        .groupBy(F.window("_at", f"{hours} hours", slide).alias("w"), *keys)
         .agg(F.sum(credit(credit_col)).alias("c"), F.count(F.lit(1)).alias("calls"))
         .select(
             *keys,
@@ -196,7 +196,7 @@ def stream_rolling_cap(
     """
     minutes = (
         timed(calls, time_col, delay)
-        .groupBy(F.window("at", "1 minute").alias("w"), *keys)
+        .groupBy(F.window("_at", "1 minute").alias("w"), *keys)
         .agg(F.sum(credit(credit_col)).alias("c"), F.count(F.lit(1)).alias("calls"))
         .select(
             *keys,
