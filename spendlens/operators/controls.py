@@ -52,7 +52,7 @@ def rolling_cap(
     keys: Sequence[str] = ("user_id", "surface"),
     time_col="event_timestamp",
     credit_col="total_credits",
-    block="15 minutes",
+    block="1 hour",
 ) -> DataFrame:
     """Every call with its user's rolling spend, limit and an over-limit flag.
 
@@ -118,8 +118,10 @@ def budget_burn(
     """
     if as_of is not None:
         calls = recent(calls, time_col, as_of)
+    # A call without a time belongs to no month. Tying the scope to the time also
+    # keeps a constant scope a join key, where it would fold into a cross join.
     spent = calls.select(
-        scope.alias("scope"),
+        F.when(F.col(time_col).isNotNull(), scope).alias("scope"),
         F.col(time_col).alias("at"),
         truncated(calls, "month", time_col).alias("month"),
         truncated(calls, "minute", time_col).alias("minute"),

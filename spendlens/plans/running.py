@@ -63,7 +63,7 @@ def rolling_totals(
     time_col: str,
     value: str,
     hours: int = 24,
-    block: str = "15 minutes",
+    block: str = "1 hour",
 ) -> DataFrame:
     """Add ``rolling_<value>``: the total over the ``hours`` up to each row.
 
