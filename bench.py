@@ -57,7 +57,7 @@ def session(cpus: str) -> SparkSession:
         .appName("spend-bench")
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "5g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

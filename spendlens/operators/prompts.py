@@ -23,7 +23,7 @@ from spendlens.functions.text import (
     score_label,
 )
 from spendlens.functions.time import literal_like, parse_as_of
-from spendlens.plans.skew import lookup
+from spendlens.plans.skew import hot_keys, lookup
 from spendlens.sources.rates import (
     CHARACTER_RATES,
     MODEL_RATES,
@@ -188,13 +188,17 @@ def new_rows_only(source, ledger, key="doc_id") -> DataFrame:
     return source.join(ledger.select(key), key, "left_anti")
 
 
-def _text_groups(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, DataFrame]:
-    """Hash of every text, and per hash its first key and number of copies."""
-    hashed = docs.select(key, F.sha2(F.col(text), 256).alias("text_hash"))
-    groups = hashed.groupBy("text_hash").agg(
+def _hashed(docs: DataFrame, text: str) -> DataFrame:
+    """Rows with a text, and the hash that stands for it in shuffles."""
+    rows = docs.withColumn("text_hash", F.sha2(F.col(text), 256))
+    return rows.where(F.col(text).isNotNull() & F.col("text_hash").isNotNull())
+
+
+def _text_groups(hashed: DataFrame, key: str) -> DataFrame:
+    """Per distinct text its first key and number of copies."""
+    return hashed.groupBy("text_hash").agg(
         F.min(key).alias("input_key"), F.count(F.lit(1)).alias("copies")
     )
-    return hashed, groups
 
 
 def dedupe_inputs(docs, text="text", key="doc_id") -> tuple[DataFrame, DataFrame]:
@@ -203,11 +207,18 @@ def dedupe_inputs(docs, text="text", key="doc_id") -> tuple[DataFrame, DataFrame
     The first frame holds one row of ``docs`` per distinct text, under its
     smallest key. The second has (key, input_key, copies). Only keys and hashes
     are shuffled to find the copies, and a text copied into a large share of
-    the rows is looked up from the broadcast side.
+    the rows is split over many tasks.
     """
-    hashed, groups = _text_groups(docs.where(F.col(text).isNotNull()), text, key)
+    hashed = _hashed(docs, text)
+    groups = _text_groups(hashed, key)
+    mapping = lookup(
+        hashed.select(key, "text_hash"),
+        groups,
+        "text_hash",
+        hot_keys(groups, "text_hash", "copies"),
+        row_id=key,
+    )
     first = groups.select(F.col("input_key").alias(key))
-    mapping = lookup(hashed, groups, "text_hash", "copies", row_id=key)
     return docs.join(first, key, "left_semi"), mapping.drop("text_hash")
 
 
@@ -233,25 +244,32 @@ def enrich(
     if ledger is not None:
         docs = new_rows_only(docs, ledger, key)
     fields = _fields(docs, schema)
-    fitting = docs.where(F.col(text).isNotNull())
-    if max_tokens is not None:
-        fitting = fitting.where(estimate_tokens(F.col(text)) <= max_tokens)
-    hashed, groups = _text_groups(fitting, text, key)
-    unique = fitting.join(groups.select(F.col("input_key").alias(key)), key, "left_semi")
     labels = [f.name for f in fields]
+    hashed = _hashed(docs, text)
+    if max_tokens is not None:
+        hashed = hashed.where(estimate_tokens(F.col(text)) <= max_tokens)
+    groups = _text_groups(hashed, key)
+    # The hash goes along with the text, so labels come back keyed by it.
+    unique = hashed.select(
+        F.col(key).alias("input_key"), "text_hash", F.col(text).alias("_text")
+    ).join(groups, ["input_key", "text_hash"])
 
     def score(batches):
         for batch in batches:
             scored = scorer(batch["_text"]).reset_index(drop=True)
-            scored.insert(0, "input_key", batch["_key"].to_numpy())
-            yield scored[["input_key", *labels]]
+            scored.insert(0, "text_hash", batch["text_hash"].to_numpy())
+            yield scored[["text_hash", *labels]]
 
-    scored = unique.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInPandas(
-        score,
-        T.StructType([T.StructField("input_key", docs.schema[key].dataType), *fields]),
+    scored = unique.mapInPandas(
+        score, T.StructType([T.StructField("text_hash", T.StringType()), *fields])
+    )
+    labelled = lookup(
+        hashed.select(key, "text_hash"),
+        scored,
+        "text_hash",
+        hot_keys(groups, "text_hash", "copies"),
+        row_id=key,
     )
-    by_hash = groups.join(scored, "input_key").select("text_hash", "copies", *labels)
-    labelled = lookup(hashed, by_hash, "text_hash", "copies", row_id=key)
     return docs.select(key).join(labelled.select(key, *labels), key, "left")
 
 

@@ -5,40 +5,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Keys served from the broadcast side. Outside the n most frequent keys no key
-#: owns more than 1/(n+1) of the rows, whatever the size of the data.
+#: Keys that are split. Outside the n most frequent keys no key owns more than
+#: 1/(n+1) of the rows, whatever the size of the data.
 HOT_KEYS = 2_000
 
+#: Parts a hot key is split into.
+SALTS = 256
+
+
+def hot_keys(groups: DataFrame, key: str, count: str, n: int = HOT_KEYS) -> DataFrame:
+    """The ``n`` most frequent keys of a table with one row and a count per key.
+
+    Ties are broken by all columns, which also leaves the grouping as it is for
+    other uses of ``groups``, so that Spark runs it once.
+    """
+    others = [c for c in groups.columns if c not in (key, count)]
+    return groups.orderBy(F.desc(count), key, *others).limit(n).select(key)
+
 
 def lookup(
     rows: DataFrame,
     values: DataFrame,
     key: str,
-    count: str,
+    hot: DataFrame,
     row_id: str,
-    hot_keys: int = HOT_KEYS,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Left join of ``rows`` with ``values`` on a string key.
+    """Left join of ``rows`` with ``values`` (one row per key) on ``key``.
 
-    ``values`` has one row per key and, in ``count``, the number of rows with
-    that key. The ``hot_keys`` most frequent keys are broadcast: their number is
-    fixed, so the size is bounded by the width of a value row. All other rows go
-    through an ordinary shuffle join. Rows already served take part in it under
-    a made-up key of their own, which matches nothing and spreads them evenly.
+    Rows of a hot key are spread over ``salts`` parts by ``row_id`` and its
+    value is copied to each part; rows without a key are spread likewise. Only
+    the list of hot keys is broadcast, and its length is fixed. ``values`` is
+    evaluated once.
     """
-    fields = [c for c in values.columns if c != key]
-    packed = values.select(key, count, F.struct(*fields).alias("_value"))
-    hot = (
-        packed.orderBy(F.desc(count), key)
-        .limit(hot_keys)
-        .select(key, F.col("_value").alias("_hot"))
+    marked = F.broadcast(hot.select(F.col(key).alias("_hot")))
+    part = F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
+    spread = F.col("_hot").isNotNull() | F.col(key).isNull()
+    left = (
+        rows.join(marked, F.col(key) == F.col("_hot"), "left")
+        .withColumn("_part", F.when(spread, part).otherwise(0))
+        .drop("_hot")
+    )
+    parts = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1)))
+    right = (
+        values.join(marked, F.col(key) == F.col("_hot"), "left")
+        .withColumn("_part", F.explode(F.coalesce(parts, F.array(F.lit(0)))))
+        .drop("_hot")
     )
-    cold = packed.select(F.col(key).alias("_key"), F.col("_value").alias("_cold"))
-    own_key = F.concat(F.lit("\u0000"), F.xxhash64(row_id).cast("string"))
-    value = F.coalesce("_hot", "_cold")
-    return (
-        rows.join(F.broadcast(hot), key, "left")
-        .withColumn("_key", F.when(F.col("_hot").isNull(), F.col(key)).otherwise(own_key))
-        .join(cold, "_key", "left")
-        .select(*rows.columns, *[value[f].alias(f) for f in fields])
+    return left.join(right, [key, "_part"], "left").select(
+        *rows.columns, *[c for c in values.columns if c != key]
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spendlens.operators import controls
 from spendlens.plans.running import rolling_totals, running_totals
-from spendlens.plans.skew import lookup
+from spendlens.plans.skew import hot_keys, lookup
 from spendlens.plans.small import if_small
 
 START = datetime(2024, 1, 1)
@@ -58,8 +58,8 @@ def test_rolling_totals(calls, block):
     assert got.columns == [*df.columns, "rolling_credits"]
 
 
-@pytest.mark.parametrize("hot_keys", [1, 3, 1000])
-def test_lookup(spark, hot_keys):
+@pytest.mark.parametrize(("n", "salts"), [(1, 4), (3, 256), (1000, 2)])
+def test_lookup(spark, n, salts):
     keys = ["hot"] * 300 + [f"k{i % 40}" for i in range(200)] + [None] * 20 + ["absent"] * 5
     rows = spark.createDataFrame(list(enumerate(keys)), "id bigint, key string")
     values = (
@@ -68,7 +68,9 @@ def test_lookup(spark, hot_keys):
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("value", F.concat(F.lit("v-"), "key"))
     )
-    got = lookup(rows, values, "key", "n", "id", hot_keys)
+    hot = hot_keys(values, "key", "n", n)
+    assert "hot" in {r.key for r in hot.collect()} and hot.count() == min(n, 41)
+    got = lookup(rows, values, "key", hot, "id", salts)
     answers = {r.id: (r.n, r.value) for r in got.collect()}
     assert len(answers) == len(keys) and got.count() == len(keys)
     for i, key in enumerate(keys):

@@ -87,3 +87,11 @@ def test_budget_scans_the_log_twice_at_most(spark):
 
 def test_no_limit_is_needed_for_role_checks(stored):
     assert "Limit" not in plan_of(controls.role_grant_check(stored, ["ANALYST_ROLE"]))
+
+
+def test_scorer_and_grouping_run_once(spark):
+    df = QUERIES["enrich_new_rows"](spark, SMALL)
+    df.collect()
+    final = plan_of(df).split("Initial Plan")[0]
+    assert final.count("MapInPandas") == 1
+    assert final.count("partial_count(1)") == 1
