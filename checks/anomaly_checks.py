@@ -55,6 +55,17 @@ def _(t):
     return anomaly.daily_metering(t.metering_daily, AS_OF)
 
 
+@query(
+    "daily_metering_like_ai",
+    f"""
+SELECT usage_date AS day, service_type, {credits('credits_billed')} AS daily_credits,
+  {credits('credits_used')} AS daily_credits_used
+FROM metering_daily WHERE lower(service_type) LIKE '%ai%' AND {last_dates('usage_date', 90)} GROUP BY 1, 2""",
+)
+def _(t):
+    return anomaly.daily_metering(t.metering_daily, AS_OF, types="%AI%")
+
+
 WEEKLY = f"""weekly AS (
 SELECT u.name AS user_name, CAST(date_trunc('week', start_time) AS TIMESTAMP) AS week, {nano('credits')} AS c,
   row_number() OVER (PARTITION BY u.name ORDER BY date_trunc('week', start_time)) AS i

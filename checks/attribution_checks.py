@@ -72,17 +72,23 @@ def _(t):
     return split.withColumn("total_credits", F.round(exact, 6).cast("double"))
 
 
-@query(
-    "spend_by_tag",
-    f"""
+def _by_tag(condition):
+    return f"""
 SELECT query_tag, {credits('token_credits')} AS total_credits, count(*) AS call_count,
   {average('token_credits', 6)} AS avg_per_call, {dollars('token_credits')} AS est_dollars
-FROM ai_sql_usage WHERE {last('usage_time', 30)} AND query_tag IS NOT NULL AND query_tag <> '' GROUP BY 1""",
-)
+FROM ai_sql_usage WHERE {last('usage_time', 30)} AND query_tag IS NOT NULL {condition} GROUP BY 1"""
+
+
+@query("spend_by_tag", _by_tag("AND query_tag <> ''"))
 def _(t):
     return attribution.spend_by_tag(t.ai_sql_usage, AS_OF)
 
 
+@query("spend_by_tag_with_empty", _by_tag(""))
+def _(t):
+    return attribution.spend_by_tag(t.ai_sql_usage, AS_OF, keep_empty=True)
+
+
 def _top_calls(condition):
     return f"""
 SELECT c.query_id, u.name AS user_name, c.function_name, c.model_name,

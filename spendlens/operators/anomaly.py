@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spendlens.functions.money import dec, ratio, total
 from spendlens.functions.time import recent
-from spendlens.operators.attribution import AI_SERVICE_TYPES
+from spendlens.operators.attribution import AI_SERVICE_TYPES, of_types
 from spendlens.plans.rollup import FUNCTION_LOG, Usage
 
 
@@ -15,7 +15,7 @@ def _daily(metering: DataFrame, as_of, days: int, types) -> DataFrame:
     """Billed credits per day: at most ``days`` + 1 rows."""
     return (
         recent(metering, "usage_date", as_of, days=days, whole_days=True)
-        .where(F.col("service_type").isin(*types))
+        .where(of_types(types))
         .groupBy(F.to_date("usage_date").alias("day"))
         .agg(total("credits_billed").alias("c"))
     )
@@ -93,7 +93,7 @@ def daily_metering(metering, as_of, days=90, types=AI_SERVICE_TYPES) -> DataFram
     """Billed and used credits per day and type."""
     return (
         recent(metering, "usage_date", as_of, days=days, whole_days=True)
-        .where(F.col("service_type").isin(*types))
+        .where(of_types(types))
         .groupBy(F.to_date("usage_date").alias("day"), "service_type")
         .agg(
             total("credits_billed").cast("double").alias("daily_credits"),

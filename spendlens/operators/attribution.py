@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlens.functions.money import (
@@ -37,6 +37,16 @@ AI_SERVICE_TYPES = (
 )
 
 
+def of_types(types: str | Sequence[str]) -> Column:
+    """Metering rows of the listed types, or of types that match one ILIKE pattern.
+
+    A pattern such as ``"%AI%"`` misses types that do not carry the letters in
+    their name; the listed default does not.
+    """
+    kind = F.col("service_type")
+    return kind.ilike(types) if isinstance(types, str) else kind.isin(*types)
+
+
 def spend_by_user(calls, users, as_of, days=7, price=PRICE_PER_CREDIT) -> DataFrame:
     """Spend per user name; calls of unknown users are kept under NULL."""
     log = Usage.of(calls, FUNCTION_LOG).window(as_of, days=days)
@@ -103,11 +113,14 @@ def spend_by_role(calls, as_of, days=30, split=False, price=PRICE_PER_CREDIT) ->
     )
 
 
-def spend_by_tag(usage, as_of, days=30, price=PRICE_PER_CREDIT) -> DataFrame:
-    """Spend per non-empty query tag."""
+def spend_by_tag(
+    usage, as_of, days=30, keep_empty=False, price=PRICE_PER_CREDIT
+) -> DataFrame:
+    """Spend per query tag; ``keep_empty`` makes the empty tag one of them."""
+    tag = F.col("query_tag")
     return (
         recent(usage, "usage_time", as_of, days=days)
-        .where(is_tagged(F.col("query_tag")))
+        .where(tag.isNotNull() if keep_empty else is_tagged(tag))
         .groupBy("query_tag")
         .agg(total("token_credits").alias("c"), F.count(F.lit(1)).alias("call_count"))
         .select(
@@ -165,7 +178,7 @@ def service_type_spend(
     metering,
     as_of=None,
     days=None,
-    types: Sequence[str] = AI_SERVICE_TYPES,
+    types: str | Sequence[str] = AI_SERVICE_TYPES,
     positive=False,
     price=PRICE_PER_CREDIT,
 ) -> DataFrame:
@@ -176,7 +189,7 @@ def service_type_spend(
     rows = metering
     if as_of is not None:
         rows = recent(metering, "usage_date", as_of, days=days, whole_days=True)
-    rows = rows.where(F.col("service_type").isin(*types))
+    rows = rows.where(of_types(types))
     if positive:
         rows = rows.where(F.col("credits_billed") > 0)
     return (
