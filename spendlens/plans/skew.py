@@ -9,18 +9,24 @@ from pyspark.sql import functions as F
 #: 1/(n+1) of the rows, whatever the size of the data.
 HOT_KEYS = 2_000
 
+#: Rows below which a key is no burden to one task and stays whole.
+HOT_ROWS = 10_000
+
 #: Parts a hot key is split into.
 SALTS = 256
 
 
-def hot_keys(groups: DataFrame, key: str, count: str, n: int = HOT_KEYS) -> DataFrame:
-    """The ``n`` most frequent keys of a table with one row and a count per key.
+def hot_keys(
+    groups: DataFrame, key: str, count: str, n: int = HOT_KEYS, at_least: int = HOT_ROWS
+) -> DataFrame:
+    """Up to ``n`` keys with the most rows, of a table with one row and a count per key.
 
     Ties are broken by all columns, which also leaves the grouping as it is for
     other uses of ``groups``, so that Spark runs it once.
     """
     others = [c for c in groups.columns if c not in (key, count)]
-    return groups.orderBy(F.desc(count), key, *others).limit(n).select(key)
+    frequent = groups.where(F.col(count) >= at_least)
+    return frequent.orderBy(F.desc(count), key, *others).limit(n).select(key)
 
 
 def lookup(

@@ -68,7 +68,8 @@ def test_lookup(spark, n, salts):
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("value", F.concat(F.lit("v-"), "key"))
     )
-    hot = hot_keys(values, "key", "n", n)
+    hot = hot_keys(values, "key", "n", n, at_least=2)
+    assert hot_keys(values, "key", "n", n).count() == 0
     assert "hot" in {r.key for r in hot.collect()} and hot.count() == min(n, 41)
     got = lookup(rows, values, "key", hot, "id", salts)
     answers = {r.id: (r.n, r.value) for r in got.collect()}
