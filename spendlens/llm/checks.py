@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlens.llm import simhash
+from spendlens.llm import lines, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +31,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def sha256(column):
+    return F.sha2(F.col(column) if isinstance(column, str) else column, 256)
+
+
+_BLANKS = "chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||' '"
+_ASCII_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+LINE_DEDUP_SQL = f"""
+WITH lines AS (
+  SELECT doc_id, unnest(split_lines) AS line, generate_subscripts(split_lines, 1) AS line_no
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS split_lines FROM documents)
+), keyed AS (
+  SELECT *, trim(translate(line, {_ASCII_LOWER}), {_BLANKS}) AS line_key FROM lines
+), owners AS (
+  SELECT line_key, min(doc_id) AS owner FROM keyed WHERE length(line_key) >= 10
+  GROUP BY line_key HAVING count(DISTINCT doc_id) >= 2
+), marked AS (
+  SELECT k.*, o.owner IS NOT NULL AND o.owner <> k.doc_id AS gone
+  FROM keyed k LEFT JOIN owners o ON k.line_key = o.line_key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE NOT gone), ''))
+    AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query("op4_line_dedup", LINE_DEDUP_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", sha256("text").alias("kept_sha256"))
+
+
 @query("op9_simhash_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
