@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlens.llm import lines, simhash
+from spendlens.llm import lines, simhash, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,6 +64,56 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", sha256("text").alias("kept_sha256"))
 
 
+WINNOW_SQL = f"""
+WITH doc_lists AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_ASCII_LOWER}),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents
+), item_lists AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_ASCII_LOWER}),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS w,
+    array_to_string(words[start : start + least(len(words), 10) - 1], ' ') AS span
+  FROM (SELECT *, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS start
+        FROM item_lists WHERE len(words) > 0)
+), lengths AS (SELECT DISTINCT w FROM item_windows
+), doc_windows AS (
+  SELECT doc_id, w, start, array_to_string(words[start : start + w - 1], ' ') AS span
+  FROM (SELECT doc_id, words, w, unnest(range(1, len(words) - w + 2)) AS start
+        FROM doc_lists, lengths WHERE len(words) >= w)
+), hits AS (
+  SELECT d.doc_id, d.start, d.w, i.item_id
+  FROM doc_windows d JOIN item_windows i ON d.w = i.w AND d.span = i.span
+), words_hit AS (
+  SELECT doc_id, count(DISTINCT word_no) AS n_hit
+  FROM (SELECT doc_id, unnest(range(start, start + w)) AS word_no
+        FROM (SELECT DISTINCT doc_id, start, w FROM hits)) GROUP BY doc_id
+), items_hit AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_lists d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
+"""
+
+
+@query("op6_decontamination", WINNOW_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnow.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        sha256(F.array_join("items", ",")).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 @query("op9_simhash_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
