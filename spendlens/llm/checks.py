@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlens.llm import lines, simhash, toxicity, winnow
+from spendlens.llm import bpe, lines, simhash, toxicity, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +36,23 @@ def sha256(column):
     return F.sha2(F.col(column) if isinstance(column, str) else column, 256)
 
 
+def byte_bpe_model() -> bytes:
+    return bpe.serialised_model(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+
+
+@query("op1_byte_bpe")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = byte_bpe_model()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = bpe.encode(docs, model, public_tokenizers.PATTERN)
+    return bpe.decode(ids, model).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        sha256(F.concat_ws(" ", F.col("ids").cast("array<string>"))).alias("ids_sha256"),
+        sha256("decoded").alias("decoded_sha256"),
+    )
+
+
 _BLANKS = "chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||' '"
 _ASCII_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
