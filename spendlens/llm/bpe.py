@@ -14,8 +14,8 @@ from __future__ import annotations
 
 import base64
 import struct
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,8 @@ from spendlens.llm.common import replacing
 #: First of the 256 letters that stand for bytes.
 FIRST_LETTER = 0x100
 
-#: Pre-tokens a worker remembers; then it starts again.
-REMEMBERED = 1 << 17
+#: Pre-tokens a worker remembers (about 100 MB); then it starts again.
+REMEMBERED = 1 << 19
 
 # Field numbers and enumerations of the sentencepiece model format.
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
@@ -109,27 +109,45 @@ def serialised_model(tokens: list[bytes]) -> bytes:
 
 
 class Encoder:
-    """Encodes texts with a serialised model; remembers the pre-tokens it met."""
+    """Encodes texts with a serialised model; remembers the pre-tokens it met.
+
+    Ids are kept as the bytes of an int32 array.
+    """
 
     def __init__(self, model: bytes, pattern: str) -> None:
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
+        ids = range(self.pieces.unk_id())
+        self.whole = dict(zip(map(self.pieces.id_to_piece, ids), ids))
         self.split = regex.compile(pattern).findall
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def ids(self, text: str) -> list[int]:
+    def ids(self, text: str) -> bytes:
         found = self.split(text)
-        if new := [p for p in dict.fromkeys(found) if p not in self.known]:
+        new = set(found).difference(self.known)
+        if new:
             if len(self.known) + len(new) > REMEMBERED:
                 self.known = {}
-                new = list(dict.fromkeys(found))
-            mapped = [to_letters(p.encode("utf-8", "surrogatepass")) for p in new]
+                new = set(found)
+            self._learn(new)
+        ids = b"".join(map(self.known.__getitem__, found))
+        for piece in new:
+            if len(piece) > 256:  # rare, and large to remember
+                del self.known[piece]
+        return ids
+
+    def _learn(self, new: set[str]) -> None:
+        parted, letters = [], []
+        for piece in new:
+            mapped = to_letters(piece.encode("utf-8", "surrogatepass"))
             # A pre-token that is a token itself is that token, whatever its merges.
-            whole = self.pieces.piece_to_id(mapped)
-            parts = self.pieces.encode(mapped, num_threads=1)
-            unknown = self.pieces.unk_id()
-            for piece, one, many in zip(new, whole, parts):
-                self.known[piece] = many if one == unknown else [one]
-        return list(chain.from_iterable(map(self.known.__getitem__, found)))
+            rank = self.whole.get(mapped)
+            if rank is None:
+                parted.append(piece)
+                letters.append(mapped)
+            else:
+                self.known[piece] = np.int32(rank).tobytes()
+        for piece, ids in zip(parted, self.pieces.encode(letters, num_threads=1)):
+            self.known[piece] = array("i", ids).tobytes()
 
 
 def _encode_udf(model: bytes, pattern: str):
@@ -137,10 +155,10 @@ def _encode_udf(model: bytes, pattern: str):
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(model, pattern)
         for batch in batches:
-            rows = [np.array(encoder.ids(t.as_py() or ""), np.int32) for t in batch]
-            offsets = np.cumsum([0, *map(len, rows)])
-            values = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+            rows = [encoder.ids(t.as_py() or "") for t in batch]
+            offsets = np.cumsum([0, *map(len, rows)]) // 4
+            values = pa.array(np.frombuffer(b"".join(rows), np.int32))
+            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
     return compute.asNondeterministic()
 
