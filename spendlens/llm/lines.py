@@ -28,7 +28,7 @@ SHARD_KEYS = 1 << 12
 LEAST_SHARDS = 256
 
 #: Copies of each shard.
-SALTS = 8
+SALTS = 16
 
 #: Bits per key in each level, and levels; keys left after the last are kept as they are.
 _SPARSE = 2
