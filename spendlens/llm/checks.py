@@ -7,12 +7,13 @@ derives the digest columns its contract asks for.
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlens.llm import bpe, lines, simhash, toxicity, winnow
+from spendlens.llm import bpe, lines, simhash, token_counts, toxicity, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -132,6 +133,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_token_counts")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encoding="utf-8")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, model)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 @query("op9_simhash_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
