@@ -13,7 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlens.llm import bpe, lines, simhash, token_counts, toxicity, winnow
+from spendlens.llm import bpe, lines, simhash, token_counts, toxicity, warc, winnow
+from spendlens.llm.common import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,6 +55,30 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+WARC_SQL = """
+WITH payloads AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), sized AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+    max(page_id) OVER (PARTITION BY sha1(payload)) AS original FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN 'revisit' ELSE 'response' END
+    AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN original END AS refers_to
+FROM sized
+"""
+
+
+@query("op3_warc", WARC_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_folder(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 _BLANKS = "chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||' '"
 _ASCII_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
