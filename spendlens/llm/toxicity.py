@@ -17,7 +17,7 @@ number per n-gram: its part of the difference of the two outputs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -101,6 +101,32 @@ def bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.concatenate(bag), text_of_word[opens]
 
 
+def in_parts(texts: Iterable[str]) -> Iterator[list[str]]:
+    """Texts in order, about ``_PART`` characters at a time."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= _PART:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def sorted_bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``bags`` of all texts with the n-grams of a bag next to each other."""
+    buckets, in_bag, of_text, n_bags, n_texts = [], [], [], 0, 0
+    for part in in_parts(texts):
+        bucket, bag, text = bags(part)
+        order = np.argsort(bag, kind="stable")
+        buckets.append(bucket[order])
+        in_bag.append(bag[order] + np.int32(n_bags))
+        of_text.append(text + n_texts)
+        n_bags, n_texts = n_bags + len(text), n_texts + len(part)
+    return np.concatenate(buckets), np.concatenate(in_bag), np.concatenate(of_text)
+
+
 @dataclass
 class Model:
     """Per bucket its part of the logit, and the bias; without vectors a constant."""
@@ -131,9 +157,7 @@ def train(texts: list[str], labels: list[int], rounds: int = 4, seed: int = 7) -
     y = np.asarray(labels, np.int64)
     if len(set(labels)) < 2:
         return Model(None, 6.0 if len(labels) and y[0] == 1 else -6.0)
-    bucket, bag, text = bags(texts)
-    order = np.argsort(bag, kind="stable")
-    bucket, bag = bucket[order], bag[order]
+    bucket, bag, text = sorted_bags(texts)
     start = np.searchsorted(bag, np.arange(len(text) + 1))
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
@@ -237,15 +261,8 @@ def _score_udf(model: Model):
     @F.arrow_udf("double")
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            scores, held, size = [], [], 0
-            for value in batch:
-                held.append(value.as_py() or "")
-                size += len(held[-1])
-                if size >= _PART:
-                    scores.append(model.score(held))
-                    held, size = [], 0
-            if held:
-                scores.append(model.score(held))
+            texts = (value.as_py() or "" for value in batch)
+            scores = [model.score(part) for part in in_parts(texts)]
             yield pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())
 
     return compute.asNondeterministic()
