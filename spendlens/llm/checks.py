@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlens.llm import bpe, lines, simhash, token_counts, toxicity, warc, winnow
+from spendlens.llm import bpe, lines, quality, simhash, token_counts, toxicity, warc, winnow
 from spendlens.llm.common import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,6 +158,51 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+QUALITY_SQL = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), listed AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words,
+    list_filter(string_split(text, chr(10)), lambda line: trim(line, {_BLANKS}) <> '') AS lines
+  FROM texts
+), starts AS (
+  SELECT doc_id, start, array_to_string(words[start : start + 7], ' ') AS span
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS start
+        FROM listed WHERE len(words) > 8)
+), again AS (
+  SELECT s.doc_id, s.start FROM starts s JOIN (
+    SELECT doc_id, span FROM starts GROUP BY doc_id, span HAVING count(*) > 1
+  ) r ON s.doc_id = r.doc_id AND s.span = r.span
+), repeats AS (
+  SELECT doc_id, count(DISTINCT word_no) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(start, start + 8)) AS word_no FROM again) GROUP BY doc_id
+), measured AS (
+  SELECT l.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines,
+    len(list_filter(words, lambda w: lower(w) IN ({", ".join(f"'{w}'" for w in quality.STOP_WORDS)})))
+      AS n_stop
+  FROM listed l LEFT JOIN repeats r ON l.doc_id = r.doc_id
+), judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND word_chars BETWEEN 2 * n_words AND 15 * n_words
+    AND 10 * n_symbols <= n_words AND 50 * n_stop >= n_words AND 2 * n_dup_lines <= n_lines AS kept
+FROM judged
+"""
+
+
+@query("op7_quality_rules", QUALITY_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
 @query("op8_token_counts")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encoding="utf-8")
