@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlens.llm import bpe, lines, quality, simhash, token_counts, toxicity, warc, winnow
+from spendlens.llm import bpe, licenses, lines, quality, simhash, token_counts, toxicity, warc, winnow
 from spendlens.llm.common import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,41 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_NOTICE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in licenses.NOTICES)
+LICENSE_SQL = f"""
+WITH notices(license, text) AS (VALUES {_NOTICE_ROWS}
+), texts AS (
+  SELECT 'd' AS kind, CAST(doc_id AS VARCHAR) AS name, coalesce(text, '') AS text FROM documents
+  UNION ALL SELECT 't', license, text FROM notices
+), listed AS (
+  SELECT kind, name, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS words FROM texts
+), shingles AS (
+  SELECT kind, name, place, array_to_string(words[place + 1 : place + 5], ' ') AS shingle
+  FROM (SELECT *, unnest(range(0, len(words) - 4)) AS place FROM listed WHERE len(words) >= 5)
+), templates AS (
+  SELECT DISTINCT name AS license, shingle,
+    CAST(pow(2, ceil(log2(n))) AS BIGINT) AS size_class, n
+  FROM (SELECT *, count(DISTINCT shingle) OVER (PARTITION BY name) AS n
+        FROM shingles WHERE kind = 't')
+), met AS (
+  SELECT s.name, t.license, t.shingle, t.n, t.size_class,
+    unnest(range(greatest(0, place // size_class - 2), place // size_class + 1)) AS nth
+  FROM shingles s JOIN templates t ON s.shingle = t.shingle WHERE s.kind = 'd'
+), held AS (
+  SELECT name, license, n, size_class * nth AS start, count(DISTINCT shingle) AS held
+  FROM met GROUP BY ALL
+)
+SELECT CAST(name AS BIGINT) AS doc_id, license, max(held / n) AS containment, min(start) AS first_word
+FROM held WHERE held * 100 >= 80 * n GROUP BY name, license
+"""
+
+
+@query("op2_license_scan", LICENSE_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.find_licenses(docs, licenses.notices(spark))
+
+
 WARC_SQL = """
 WITH payloads AS (
   SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
