@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlens.llm import bpe, licenses, lines, quality, simhash, token_counts, toxicity, warc, winnow
+from spendlens.llm import bpe, licenses, lines, preferences, quality, simhash, token_counts, toxicity, warc, winnow
 from spendlens.llm.common import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,6 +143,78 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", sha256("text").alias("kept_sha256"))
 
 
+PREFERENCE_SQL = """
+WITH turns AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n
+  FROM (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL)
+), openings AS (
+  SELECT conv_id, min(conv_id) OVER (PARTITION BY role, text) AS first,
+    max(conv_id) OVER (PARTITION BY role, text) AS last FROM turns WHERE n = 1
+), partners AS (
+  SELECT conv_id, CASE WHEN conv_id <> first THEN first WHEN last <> first THEN last END AS partner_id
+  FROM openings
+), replies AS (
+  SELECT conv_id, n, lag(text) OVER (PARTITION BY conv_id ORDER BY n) AS before,
+    n = max(n) OVER (PARTITION BY conv_id) AS is_last FROM turns WHERE role = 'assistant'
+), stale AS (
+  SELECT t.conv_id, t.n, t.role,
+    CASE WHEN r.is_last THEN coalesce(r.before, '') ELSE t.text END AS text
+  FROM turns t LEFT JOIN replies r ON t.conv_id = r.conv_id AND t.n = r.n
+), sides AS (
+  SELECT conv_id, 'chosen' AS side, n, role, text FROM turns
+  UNION ALL SELECT p.conv_id, 'rejected', t.n, t.role, t.text
+    FROM partners p JOIN turns t ON p.partner_id = t.conv_id
+  UNION ALL SELECT p.conv_id, 'rejected', s.n, s.role, s.text
+    FROM partners p JOIN stale s ON p.conv_id = s.conv_id WHERE p.partner_id IS NULL
+), places AS (
+  SELECT conv_id, n,
+    count(*) = 2 AND count(DISTINCT role) = 1 AND count(DISTINCT text) = 1 AS equal
+  FROM sides GROUP BY conv_id, n
+), prefixes AS (
+  SELECT conv_id, CAST(coalesce(min(n) FILTER (WHERE NOT equal) - 1, max(n)) AS BIGINT) AS n_prompt_turns
+  FROM places GROUP BY conv_id
+), parts AS (
+  SELECT s.*, n <= n_prompt_turns AS in_prompt, n_prompt_turns,
+    '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS rendered
+  FROM sides s JOIN prefixes p ON s.conv_id = p.conv_id
+), formatted AS (
+  SELECT conv_id, any_value(n_prompt_turns) AS n_prompt_turns,
+    coalesce(string_agg(rendered, '' ORDER BY n) FILTER (WHERE in_prompt AND side = 'chosen'), '') AS prompt,
+    coalesce(string_agg(rendered, '' ORDER BY n) FILTER (WHERE NOT in_prompt AND side = 'chosen'), '') AS c,
+    coalesce(string_agg(rendered, '' ORDER BY n) FILTER (WHERE NOT in_prompt AND side = 'rejected'), '') AS r,
+    CAST(coalesce(sum(length(text) + 11) FILTER (
+      WHERE NOT in_prompt AND side = 'chosen' AND role = 'assistant'), 0) AS BIGINT) AS chosen_loss_chars,
+    CAST(coalesce(sum(length(text) + 11) FILTER (
+      WHERE NOT in_prompt AND side = 'rejected' AND role = 'assistant'), 0) AS BIGINT) AS rejected_loss_chars
+  FROM parts GROUP BY conv_id
+)
+SELECT f.conv_id, partner_id, n_prompt_turns, sha256(prompt) AS prompt_sha256,
+  sha256(c) AS chosen_sha256, sha256(r) AS rejected_sha256, chosen_loss_chars, rejected_loss_chars,
+  chosen_loss_chars > 0 AND rejected_loss_chars > 0 AND c <> r AS usable
+FROM formatted f JOIN partners p ON f.conv_id = p.conv_id
+"""
+
+
+@query("op5_preference_format", PREFERENCE_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preferences.paired_by_opening(table(spark, sf_dir, "conversations"))
+
+    def loss_chars(spans: str):
+        zero = F.lit(0).cast("bigint")
+        return F.aggregate(spans, zero, lambda total, s: total + s["end"] - s["start"])
+
+    return preferences.format_pairs(pairs).select(
+        "conv_id", "partner_id", "n_prompt_turns",
+        sha256("prompt").alias("prompt_sha256"),
+        sha256("chosen_completion").alias("chosen_sha256"),
+        sha256("rejected_completion").alias("rejected_sha256"),
+        loss_chars("chosen_spans").alias("chosen_loss_chars"),
+        loss_chars("rejected_spans").alias("rejected_loss_chars"),
+        "usable",
+    )
+
+
 WINNOW_SQL = f"""
 WITH doc_lists AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_ASCII_LOWER}),
