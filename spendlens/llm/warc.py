@@ -289,8 +289,7 @@ def _read_batches(segments: bool):
     return run
 
 
-@F.arrow_udf("struct<data: binary, problem: string>")
-def _joined(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+def _joined_udf():
     """Payload out of the ordered segments of a record and its total length."""
 
     def one(segments: list[dict], total: int | None) -> dict:
@@ -303,9 +302,13 @@ def _joined(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         data, problem = _payload(block)
         return {"data": data, "problem": problem}
 
-    for segments, totals in parts:
-        rows = [one(s.as_py(), t.as_py()) for s, t in zip(segments, totals)]
-        yield pa.array(rows, pa.struct([("data", pa.binary()), ("problem", pa.string())]))
+    @F.arrow_udf("struct<data: binary, problem: string>")
+    def joined(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for segments, totals in parts:
+            rows = [one(s.as_py(), t.as_py()) for s, t in zip(segments, totals)]
+            yield pa.array(rows, pa.struct([("data", pa.binary()), ("problem", pa.string())]))
+
+    return joined.asNondeterministic()
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
@@ -334,7 +337,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
                 for c in (*rest, "copies") if c != "total"
             ],
         )
-        .withColumn("joined", _joined("segments", "total"))
+        .withColumn("joined", _joined_udf()("segments", "total"))
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.coalesce("copies", F.lit(1))))))
         .select(*rest, "joined.data", "joined.problem")
     )
