@@ -53,6 +53,34 @@ def replacing(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[c] for c in df.columns if c.lower() not in taken])
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The given names, each made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found
+
+
+def matched(
+    docs: DataFrame, rows: DataFrame, how: str, id_col: str, text_col: str, once: bool = False
+) -> DataFrame:
+    """Semi or anti join of documents with ``rows`` (id, key) on id and text, null ids included.
+
+    ``key`` is the ``text_key`` of a text. With ``once``, rows that repeat id and text become one.
+    """
+    id_name, key_name, own = fresh(docs, "_id", "_key", "_own_key")
+    other = rows.select(F.col("id").alias(id_name), F.col("key").alias(key_name))
+    met = docs.withColumn(own, text_key(text_col)).join(
+        other,
+        F.col(id_col).cast("bigint").eqNullSafe(F.col(id_name)) & (F.col(own) == F.col(key_name)),
+        how,
+    )
+    return (met.dropDuplicates([id_col, own]) if once else met).select(*docs.columns)
+
+
 def encoded(texts: Iterable) -> Iterator[bytes]:
     """The UTF-8 bytes of each Arrow string, empty for null."""
     for value in texts:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import LOWER, encoded, mixed, replacing, stored
+from spendlens.llm.common import LOWER, encoded, fresh, mixed, replacing, stored
 
 #: Keys per shard aimed at, and the least number of shards.
 SHARD_KEYS = 1 << 12
@@ -243,7 +243,7 @@ def _apply_udf(least_chars: int):
                 names=["text", "n_lines", "n_dropped"],
             )
 
-    return compute
+    return compute.asNondeterministic()
 
 
 def dedup_lines(
@@ -270,23 +270,28 @@ def dedup_lines(
     ).mapInArrow(_distinct_keys(least_chars), "id bigint, row bigint, h bigint, f bigint")
     index = stored(line_index(lines), "line-index")
     shards = index.agg(F.max("shards")).first()[0] or LEAST_SHARDS
+    rows = replacing(docs, "n_lines", "n_dropped")
+    whose_name, hash_name, id_name, row_name, drops_name, done_name = fresh(
+        rows, "_whose", "_hash", "_id", "_row", "_drops", "_done"
+    )
     drops = (
         repeated_lines(lines, index.drop("shards"), shards)
-        .groupBy(F.col("id").alias("_id"), F.col("row").alias("_row"))
-        .agg(F.collect_set("h").alias("_drops"))
+        .groupBy(F.col("id").alias(id_name), F.col("row").alias(row_name))
+        .agg(F.collect_set("h").alias(drops_name))
     )
-    met = (
-        replacing(docs, "n_lines", "n_dropped")
-        .withColumns({"_whose": whose, "_text_hash": text_hash})
-        .join(
-            drops.hint("shuffle_hash"),
-            (F.col("_whose") == F.col("_id")) & (F.col("_text_hash") == F.col("_row")),
-            "left",
-        )
+    met = rows.withColumns({whose_name: whose, hash_name: text_hash}).join(
+        drops.hint("shuffle_hash"),
+        (F.col(whose_name) == F.col(id_name)) & (F.col(hash_name) == F.col(row_name)),
+        "left",
+    )
+    done = met.withColumn(
+        done_name, _apply_udf(least_chars)(F.col(text_col), F.col(drops_name))
     )
-    done = met.withColumn("_done", _apply_udf(least_chars)(F.col(text_col), F.col("_drops")))
     columns = [
-        F.col("_done.text").alias(c) if c.lower() == text_col.lower() else F.col(c)
-        for c in replacing(docs, "n_lines", "n_dropped").columns
+        F.col(done_name)["text"].alias(c) if c.lower() == text_col.lower() else F.col(c)
+        for c in rows.columns
     ]
-    return done.select(*columns, "_done.n_lines", "_done.n_dropped")
+    result = F.col(done_name)
+    return done.select(
+        *columns, result["n_lines"].alias("n_lines"), result["n_dropped"].alias("n_dropped")
+    )

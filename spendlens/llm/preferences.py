@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spendlens.llm.common import fresh
+
 # The marks of the chat template.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
@@ -91,27 +93,28 @@ def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "reje
                "rejected_completion", "rejected_spans", "usable")
     taken = {n.lower() for n in (*outputs, chosen, rejected)}
     kept = [c for c in pairs.columns if c.lower() not in taken]
+    a, b, n = fresh(pairs, "_a", "_b", "_n")
     none = F.array().cast(_TURNS)
     sides = pairs.select(
         *kept,
-        F.coalesce(F.col(chosen).cast(_TURNS), none).alias("_a"),
-        F.coalesce(F.col(rejected).cast(_TURNS), none).alias("_b"),
-    ).withColumn("_n", _common_prefix(F.col("_a"), F.col("_b")))
+        F.coalesce(F.col(chosen).cast(_TURNS), none).alias(a),
+        F.coalesce(F.col(rejected).cast(_TURNS), none).alias(b),
+    ).withColumn(n, _common_prefix(F.col(a), F.col(b)))
 
     def text(turns: Column) -> Column:
         return F.array_join(F.transform(turns, rendered), "")
 
     def rest(side: str) -> Column:
-        return F.slice(side, F.col("_n") + 1, F.greatest(F.lit(0), F.size(side) - F.col("_n")))
+        return F.slice(side, F.col(n) + 1, F.greatest(F.lit(0), F.size(side) - F.col(n)))
 
     formatted = sides.select(
         *kept,
-        F.col("_n").cast("bigint").alias("n_prompt_turns"),
-        text(F.slice("_a", F.lit(1), F.col("_n"))).alias("prompt"),
-        text(rest("_a")).alias("chosen_completion"),
-        _loss_spans(rest("_a")).alias("chosen_spans"),
-        text(rest("_b")).alias("rejected_completion"),
-        _loss_spans(rest("_b")).alias("rejected_spans"),
+        F.col(n).cast("bigint").alias("n_prompt_turns"),
+        text(F.slice(a, F.lit(1), F.col(n))).alias("prompt"),
+        text(rest(a)).alias("chosen_completion"),
+        _loss_spans(rest(a)).alias("chosen_spans"),
+        text(rest(b)).alias("rejected_completion"),
+        _loss_spans(rest(b)).alias("rejected_spans"),
     )
     return formatted.withColumn(
         "usable",

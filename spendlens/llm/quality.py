@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import replacing
+from spendlens.llm.common import fresh, replacing
 
 #: Words of a window that counts as repeated when it occurs again.
 REPEAT_WINDOW = 8
@@ -164,9 +164,10 @@ def quality(
         )
 
     rows = replacing(docs, *outputs)
-    result = rows.withColumn("_quality", _let(_measured(text, window), judged))
-    return result.select(
+    (name,) = fresh(rows, "_quality")
+    found = F.col(name)
+    return rows.withColumn(name, _let(_measured(text, window), judged)).select(
         *rows.columns,
-        *[F.col(f"_quality.{name}").alias(name) for name in (*MEASURES, "base_failed", "failed")],
-        (F.size("_quality.failed") == 0).alias("kept"),
+        *[found[output].alias(output) for output in (*MEASURES, "base_failed", "failed")],
+        (F.size(found["failed"]) == 0).alias("kept"),
     )

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import LOWER, encoded, mixed, replacing, stored, text_key
+from spendlens.llm.common import LOWER, encoded, matched, mixed, stored, text_key
 from spendlens.llm.components import components
 
 #: References whose distances are tabled; eight to a 64-bit word.
@@ -249,11 +249,6 @@ def one_of_each(
     keep = (
         found.groupBy(F.col("component_id").isNull().alias("unnamed"), group.alias("group"))
         .agg(F.min(order).alias("kept"))
-        .select(F.col("kept.id").alias("_id"), F.col("kept.text_key").alias("_key"))
+        .select("kept.id", F.col("kept.text_key").alias("key"))
     )
-    both = docs.withColumn("_key_of_row", text_key(text_col)).join(
-        keep,
-        F.col(id_col).cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_key_of_row") == F.col("_key")),
-        "left_semi",
-    )
-    return both.dropDuplicates([id_col, "_key_of_row"]).select(*replacing(docs).columns)
+    return matched(docs, keep, "left_semi", id_col, text_col, once=True)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import encoded, mixed, replacing, stored, text_key
+from spendlens.llm.common import encoded, matched, mixed, stored, text_key
 
 #: Words of a window, and of a gram inside it.
 WINDOW = 10
@@ -333,13 +333,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFra
     """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     found = contamination(docs, benchmark, **options).where("contaminated")
-    dirty = found.select(F.col(id_col).alias("_id"), F.col("text_key").alias("_key")).distinct()
-    return (
-        docs.withColumn("_key_of_row", text_key(text_col))
-        .join(
-            dirty,
-            F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key_of_row") == F.col("_key")),
-            "left_anti",
-        )
-        .select(*docs.columns)
-    )
+    dirty = found.select(
+        F.col(id_col).cast("bigint").alias("id"), F.col("text_key").alias("key")
+    ).distinct()
+    return matched(docs, dirty, "left_anti", id_col, text_col)
