@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import fresh
+from spendlens.llm.common import fresh, stored
 
 # The marks of the chat template.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
@@ -149,19 +149,28 @@ def paired_by_opening(turns: DataFrame) -> DataFrame:
     come from a minimum and a maximum per opening, so a common opening is no burden
     to one task, and no pair is made beside these.
     """
-    talks = conversations(turns).withColumn("opening", F.sha2(rendered(F.col("turns")[0]), 256))
-    ends = talks.groupBy("opening").agg(F.min("conv_id").alias("first"), F.max("conv_id").alias("last"))
-    partner = F.when(F.col("conv_id") != F.col("first"), F.col("first")).when(
-        F.col("last") != F.col("first"), F.col("last")
+    # Written out once: three uses read it, and joins of plain scans are split where
+    # one opening or partner has very many rows.
+    talks = stored(
+        conversations(turns).withColumn("opening", F.sha2(rendered(F.col("turns")[0]), 256)),
+        "conversations",
     )
-    named = talks.join(ends, "opening").select("conv_id", "turns", partner.alias("partner_id"))
-    others = talks.select(F.col("conv_id").alias("partner_id"), F.col("turns").alias("partner_turns"))
-    # Conversations without a partner must not meet in one task for the lack of a key.
-    alone = F.col("partner_id").isNull()
-    found = named.where(~alone).join(others, "partner_id").select(
-        "conv_id", "partner_id", F.col("turns").alias("chosen"), F.col("partner_turns").alias("rejected")
+    shared = stored(
+        talks.groupBy("opening")
+        .agg(F.min("conv_id").alias("first"), F.max("conv_id").alias("last"))
+        .where("first <> last"),
+        "openings",
     )
-    own = named.where(alone).select(
-        "conv_id", "partner_id", F.col("turns").alias("chosen"), stale_reply(F.col("turns")).alias("rejected")
+    partner = F.when(F.col("conv_id") != F.col("first"), F.col("first")).otherwise(F.col("last"))
+    named = talks.join(shared, "opening").select("conv_id", "turns", partner.alias("partner_id"))
+    others = talks.select(F.col("conv_id").alias("partner_id"), F.col("turns").alias("rejected"))
+    found = named.join(others, "partner_id").select(
+        "conv_id", "partner_id", F.col("turns").alias("chosen"), "rejected"
+    )
+    own = talks.join(shared.select("opening"), "opening", "left_anti").select(
+        "conv_id",
+        F.lit(None).cast(talks.schema["conv_id"].dataType).alias("partner_id"),
+        F.col("turns").alias("chosen"),
+        stale_reply(F.col("turns")).alias("rejected"),
     )
     return found.unionByName(own)
