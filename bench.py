@@ -19,7 +19,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 HEADLINE = (
     "rate_per_million",
-    "rate_per_million_from_rollup",
+    "rate_per_million_stored_rollup",
     "spend_by_function",
     "hourly_spend",
     "hourly_rollup_sql",
@@ -46,8 +46,11 @@ HEADLINE = (
     "enrich_new_rows",
     "rolling_cap",
     "budget_burn_by_team",
+    "budget_burn_month_to_date",
     "run_budget",
     "role_grant_check",
+    "stream_hourly_spend",
+    "stream_rolling_cap",
 )
 
 

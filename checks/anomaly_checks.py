@@ -4,7 +4,7 @@ from checks.catalog import query
 from checks.sql import AI_TYPES, credits, half_up, last, last_dates, nano
 from spendlens.operators import anomaly
 from spendlens.plans.rollup import hourly_rollup
-from spendlens.sources.fixtures import AS_OF
+from checks.fixtures import AS_OF
 
 
 def _daily(days):

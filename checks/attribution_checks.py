@@ -15,7 +15,7 @@ from checks.sql import (
 from pyspark.sql import functions as F
 from spendlens.operators import attribution
 from spendlens.plans.rollup import hourly_rollup
-from spendlens.sources.fixtures import AS_OF
+from checks.fixtures import AS_OF
 
 SPEND_BY_USER = f"""
 SELECT u.name AS user_name, count(*) AS ai_call_count, {half_up(nano('credits'), '1000000000', 4)} AS total_ai_credits,

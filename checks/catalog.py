@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.sql import standalone
-from spendlens.sources.fixtures import table
+from checks.fixtures import table
+from spendlens.streaming.sinks import CHECKPOINT_DIR, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
+BUILDS: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
 
 
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A folder for one run; a session that names no shared one gets its own."""
+    if not spark.conf.get(CHECKPOINT_DIR, None):
+        spark.conf.set(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="spendlens-"))
+    return shared_folder(spark, name)
+
+
 class Inputs:
     """Tables of one data folder, loaded when asked for."""
 
@@ -35,6 +45,7 @@ def query(name: str, oracle: str | None = None, extra: str = ""):
     def register(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
+        BUILDS[name] = build
         QUERIES[name] = lambda spark, sf_dir: build(Inputs(spark, sf_dir))
         if oracle is not None:
             ORACLES[name] = standalone(oracle, extra)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from spendlens.functions.tags import tag_value
 from spendlens.functions.text import estimate_tokens
 from spendlens.operators import controls
-from spendlens.sources.fixtures import AS_OF
+from checks.fixtures import AS_OF
 
 LIMIT = 0.006
 CHANGED = "user_id % 10 = 3"
@@ -80,6 +80,9 @@ TEAM_LIMITS = {"t0": 30, "t1": 60, "t2": 5000, "t3": 45}
 ACCOUNT_LIMIT = {"account": 900}
 
 
+MONTH_TO_DATE = BURN + " HAVING month >= date_trunc('month', TIMESTAMP '2024-01-31')"
+
+
 @query(
     "budget_burn_by_team",
     BURN,
@@ -87,16 +90,48 @@ ACCOUNT_LIMIT = {"account": 900}
 )
 def _(t):
     scope = tag_value(F.col("query_tag"), "team")
-    return controls.budget_burn(t.ai_sql_usage, limits_table(t, TEAM_LIMITS), scope, AS_OF)
+    return controls.budget_burn(
+        t.ai_sql_usage, limits_table(t, TEAM_LIMITS), scope, AS_OF, months=None
+    )
 
 
 @query("budget_burn_account", BURN, _burn("'account'", ACCOUNT_LIMIT))
+def _(t):
+    return controls.budget_burn(
+        t.ai_sql_usage, limits_table(t, ACCOUNT_LIMIT), F.lit("account"), AS_OF, months=None
+    )
+
+
+@query("budget_burn_month_to_date", MONTH_TO_DATE, _burn("'account'", ACCOUNT_LIMIT))
 def _(t):
     return controls.budget_burn(
         t.ai_sql_usage, limits_table(t, ACCOUNT_LIMIT), F.lit("account"), AS_OF
     )
 
 
+@query(
+    "rolling_cap_untimed",
+    """
+SELECT surface, request_id, CAST(rolling AS DOUBLE) / 1e9 AS rolling_credits, rolling > 6000000 AS over_limit
+FROM (SELECT c.surface, c.request_id,
+    CASE WHEN c.at IS NOT NULL THEN sum(p.total_credits) END AS rolling
+  FROM timed c LEFT JOIN timed p ON p.user_id = c.user_id AND p.at BETWEEN c.at - INTERVAL 24 HOUR AND c.at
+  GROUP BY c.surface, c.request_id, c.at)""",
+    f"""timed AS (
+SELECT 'cli' AS surface, request_id, user_id, {nano_of('total_credits')} AS total_credits,
+  CASE WHEN request_id % 7 <> 0 THEN event_timestamp END AS at FROM assistant_cli_usage)""",
+)
+def _(t):
+    """Every seventh call has lost its time: it stays, without rolling spend."""
+    calls = controls.surfaces(cli=t.assistant_cli_usage).withColumn(
+        "event_timestamp", F.when(F.col("request_id") % 7 != 0, F.col("event_timestamp"))
+    )
+    capped = controls.rolling_cap(calls, LIMIT)
+    return capped.select(
+        "surface", "request_id", F.col("rolling_credits").cast("double").alias("rolling_credits"), "over_limit"
+    )
+
+
 def _calls(condition):
     return f"""
 SELECT query_id, user_id, function_name, model_name, CAST(credits AS DOUBLE) AS credits, start_time
@@ -115,6 +150,16 @@ def _(t):
     return _plain(controls.model_allowlist(t.ai_function_usage, "mistral-7b,llama3.1-70b"))
 
 
+@query("model_allowlist_empty", _calls("model_name IS NOT NULL"))
+def _(t):
+    return _plain(controls.model_allowlist(t.ai_function_usage, []))
+
+
+@query("model_allowlist_week", _calls(f"{last('start_time', 7)} AND model_name IS NOT NULL AND model_name <> 'mistral-7b'"))
+def _(t):
+    return _plain(controls.model_allowlist(t.ai_function_usage, "mistral-7b", AS_OF, 7))
+
+
 @query("model_allowlist_none", _calls("true"))
 def _(t):
     return _plain(controls.model_allowlist(t.ai_function_usage, "NONE"))
@@ -168,10 +213,8 @@ SELECT query_id, query_tag, 'team,project,env' AS missing_keys FROM ai_sql_usage
 WHERE {last('usage_time', 30)} AND (query_tag IS NULL OR query_tag NOT LIKE 'team=%')""",
 )
 def _(t):
-    recent = t.ai_sql_usage.where(
-        F.col("usage_time").between("2024-01-01 00:00:00", "2024-01-31 00:00:00")
-    )
-    return controls.tag_format_check(recent).select("query_id", "query_tag", "missing_keys")
+    checked = controls.tag_format_check(t.ai_sql_usage, as_of=AS_OF, days=30)
+    return checked.select("query_id", "query_tag", "missing_keys")
 
 
 @query(

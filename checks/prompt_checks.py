@@ -1,10 +1,11 @@
 """Queries and oracles of the prompt and pre-flight jobs."""
 
-from checks.catalog import query
+from checks.catalog import query, run_folder
 from checks.sql import NOW, average, half_up, last, nano_of
 from pyspark.sql import functions as F
 from spendlens.operators import prompts
-from spendlens.sources.fixtures import AS_OF
+from spendlens.sources import logs
+from checks.fixtures import AS_OF
 
 PREFIX = "Summarize: "
 
@@ -223,6 +224,42 @@ def _(t):
     return prompts.sentiment_labels(scored)
 
 
+# Three keys for all documents: every row must come back once.
+REPEATED = f"""scored AS (
+SELECT doc_id % 3 AS doc_id, CASE WHEN {tokens()} <= 1000 THEN (length(text) % 201 - 100) / 100.0 END AS score
+FROM documents)"""
+
+
+@query("enrich_repeated_keys", "SELECT doc_id, CAST(score AS DOUBLE) AS score FROM scored", REPEATED)
+def _(t):
+    docs = t.documents.withColumn("doc_id", F.col("doc_id") % 3)
+    scored = prompts.enrich(docs, _length_scorer(), "score double, size_class bigint", max_tokens=1000)
+    return scored.select("doc_id", "score")
+
+
+@query(
+    "dedupe_inputs_repeated_keys",
+    "SELECT text, min(doc_id % 3) AS doc_id FROM documents WHERE text IS NOT NULL GROUP BY text",
+)
+def _(t):
+    docs = t.documents.withColumn("doc_id", F.col("doc_id") % 3)
+    return prompts.dedupe_inputs(docs)[0].select("text", "doc_id")
+
+
+@query(
+    "ledger_round",
+    "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND lang <> 'en'",
+)
+def _(t):
+    """Filter, process the English rows, append them to the ledger, filter again."""
+    ledger = run_folder(t.spark, "ledger")
+    logs.append_ledger(t.labels, ledger, "doc_id")
+    new = prompts.new_rows_only(t.documents, logs.read_ledger(t.spark, ledger, "doc_id bigint"))
+    logs.append_ledger(new.where("lang = 'en'"), ledger, "doc_id")
+    held = logs.read_ledger(t.spark, ledger, "doc_id bigint")
+    return prompts.new_rows_only(t.documents, held).select("doc_id", "lang")
+
+
 @query(
     "sentiment_labels",
     """
@@ -300,9 +337,9 @@ def _(t):
     return _feedback(t, 500)
 
 
-@query("feedback_row_count", f"SELECT count(*) AS row_count FROM ({FEEDBACK} LIMIT 500) f")
+@query("feedback_row_count", f"SELECT count(*) AS row_count FROM ({FEEDBACK}) f")
 def _(t):
-    return _feedback(t, 500).agg(F.count(F.lit(1)).alias("row_count"))
+    return _feedback(t, None).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query(
@@ -312,4 +349,4 @@ SELECT customer_id, customer_name, substr(feedback_text, 1, 80) AS feedback_prev
 FROM ({FEEDBACK}) f ORDER BY customer_id LIMIT 5""",
 )
 def _(t):
-    return prompts.feedback_preview(_feedback(t, 500))
+    return prompts.feedback_preview(_feedback(t, None))

@@ -10,6 +10,7 @@ from checks import (  # noqa: F401
     tracking_checks,
     waste_checks,
 )
+from checks import exactness_checks  # noqa: F401, I001  it builds on the others
 from checks.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -3,7 +3,7 @@
 from checks.catalog import query
 from checks.sql import AI_TYPES, credits, last, last_dates
 from spendlens.operators import report
-from spendlens.sources.fixtures import AS_OF
+from checks.fixtures import AS_OF
 
 
 def _grouped(category, detail, calls, credit_col, view, condition, keys):
@@ -62,6 +62,16 @@ for _kind in BY_KIND:
     _register(_kind)
 
 
+@query(
+    "report_unknown_and_daily",
+    BY_KIND["daily_trend"]
+    + """ UNION ALL SELECT 'ERROR', 'Invalid report_type. Use: summary, cortex_aisql_by_model, ai_functions_by_model, cortex_search_by_service, daily_trend', NULL, NULL""",
+)
+def _(t):
+    """An unknown name gives one ERROR row in the shape of the reports."""
+    return report.report("daily_trend", t, AS_OF).unionByName(report.report("nonsense", t, AS_OF))
+
+
 def _kpis(condition):
     """Sums whole nano-credits, so that the total does not depend on the order."""
     return f"""

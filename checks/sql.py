@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from spendlens.sources.fixtures import AS_OF, VIEWS
+from checks.fixtures import AS_OF, VIEWS
 
 NOW = f"TIMESTAMP '{AS_OF}'"
 TODAY = f"DATE '{AS_OF[:10]}'"
@@ -82,14 +82,16 @@ def dollars(column: str, digits: int = 2, price: int = 3) -> str:
     return half_up(f"{price} * {nano(column)}", "1000000000", digits)
 
 
+# Metering types of AI services.
 AI_TYPES = (
     "('AI_SERVICES','CORTEX_AGENTS','CORTEX_CODE_CLI','CORTEX_CODE_SNOWSIGHT','SNOWFLAKE_INTELLIGENCE')"
 )
 
+# What marks a statement as using an AI function.
 AI_TEXT = "(" + " OR ".join(
-    f"lower(query_text) LIKE '%{word}%'"
+    f"query_text ILIKE '%{word}%'"
     for word in (
-        "ai_complete", "ai_sentiment", "ai_classify", "ai_translate", "ai_summarize",
-        "ai_embed", "ai_filter", "ai_extract", "snowflake.cortex",
+        "AI_COMPLETE", "AI_SENTIMENT", "AI_CLASSIFY", "AI_TRANSLATE", "AI_SUMMARIZE",
+        "AI_EMBED", "AI_FILTER", "AI_EXTRACT", "SNOWFLAKE.CORTEX",
     )
 ) + ")"

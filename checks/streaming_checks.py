@@ -1,10 +1,10 @@
 """Streaming queries, run over all data there is, against batch oracles."""
 
-from checks.catalog import query
+from checks.catalog import query, run_folder
 from checks.control_checks import ACCOUNT_LIMIT, limits_table
 from checks.sql import dollars, half_up, nano_of, rounded
 from pyspark.sql import functions as F
-from spendlens.sources.fixtures import VIEWS, source
+from checks.fixtures import VIEWS, source
 from spendlens.streaming import sinks, spend
 
 
@@ -29,7 +29,7 @@ FROM ai_function_usage GROUP BY 1, 2""",
 )
 def _(t):
     hourly = spend.stream_hourly_spend(_stream(t, "ai_function_usage"))
-    drained = sinks.drain_updates(hourly, ["hour_bucket", "function_name"], "hourly-spend")
+    drained = sinks.drain_updates(hourly, ["hour_bucket", "function_name"], run_folder(t.spark, "hourly-spend"))
     return _ntz(drained, "hour_bucket")
 
 
@@ -46,7 +46,7 @@ FROM (SELECT CAST(date_trunc('month', usage_time) AS TIMESTAMP) AS month, sum({n
 def _(t):
     limits = limits_table(t, ACCOUNT_LIMIT)
     burn = spend.stream_budget_burn(_stream(t, "ai_sql_usage"), limits, F.lit("account"))
-    drained = sinks.drain_updates(burn, ["scope", "month"], "budget-burn")
+    drained = sinks.drain_updates(burn, ["scope", "month"], run_folder(t.spark, "budget-burn"))
     return _ntz(drained, "month")
 
 
@@ -66,7 +66,7 @@ WHERE window_start + INTERVAL 24 HOUR <= {RELEASED} GROUP BY 1, 2""",
 )
 def _(t):
     sliding = spend.stream_sliding_spend(_stream(t, "assistant_cli_usage"))
-    return _ntz(sinks.drain_rows(sliding, "sliding-spend"), "window_start", "window_end")
+    return _ntz(sinks.drain_rows(sliding, run_folder(t.spark, "sliding-spend")), "window_start", "window_end")
 
 
 @query(
@@ -83,5 +83,5 @@ FROM assistant_cli_usage WHERE date_trunc('minute', event_timestamp) + INTERVAL
 def _(t):
     with spend.rocksdb_state(t.spark):
         rolling = spend.stream_rolling_cap(_stream(t, "assistant_cli_usage"), 0.006)
-        drained = sinks.drain_rows(rolling, "rolling-cap")
+        drained = sinks.drain_rows(rolling, run_folder(t.spark, "rolling-cap"))
     return _ntz(drained, "minute")

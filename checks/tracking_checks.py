@@ -17,7 +17,7 @@ from checks.sql import (
 from pyspark.sql import functions as F
 from spendlens.operators import tracking
 from spendlens.plans.rollup import hourly_rollup
-from spendlens.sources.fixtures import AS_OF
+from checks.fixtures import AS_OF
 
 USER_TEXT = "7"
 KNOWN = f"(SELECT user_id FROM users WHERE name LIKE '%{USER_TEXT}%')"

@@ -16,7 +16,7 @@ from checks.attribution_checks import ROLES
 from pyspark.sql import functions as F
 from spendlens.operators import waste
 from spendlens.plans.rollup import hourly_rollup
-from spendlens.sources.fixtures import AS_OF
+from checks.fixtures import AS_OF
 
 PER_MILLION = half_up("1000000 * " + nano("token_credits"), "1000000000 * sum(tokens)", 2)
 

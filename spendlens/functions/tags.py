@@ -1,4 +1,4 @@
-"""Query tags of the form ``team=<team>,project=<project>,env=<env>``."""
+"""Query tags: comma-separated pairs of a key and a value; ``controls.REQUIRED_TAG_KEYS`` names the keys."""
 
 from __future__ import annotations
 

@@ -24,10 +24,15 @@ FILLER_PHRASES = (
 )
 
 
+def estimate_tokens_of(chars: Column) -> Column:
+    """Estimated tokens of a text with this many characters, rounded up."""
+    return F.ceil(chars / F.lit(CHARS_PER_TOKEN))
+
+
 def estimate_tokens(text: Column, method: str = "chars") -> Column:
     """Estimated tokens, rounded up: characters / 4, or words / 0.75."""
     if method == "chars":
-        return F.ceil(F.length(text) / F.lit(CHARS_PER_TOKEN))
+        return estimate_tokens_of(F.length(text))
     if method == "words":
         return F.ceil(F.regexp_count(text, F.lit(r"\S+")) / F.lit(WORDS_PER_TOKEN))
     raise ValueError(f"unknown method {method!r}: use 'chars' or 'words'")

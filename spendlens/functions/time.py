@@ -23,6 +23,13 @@ def parse_as_of(as_of: str | date | datetime) -> datetime:
     return as_of
 
 
+def month_start(as_of: str | date | datetime, months: int) -> datetime:
+    """Start of the first of the ``months`` calendar months that end with that of ``as_of``."""
+    until = parse_as_of(as_of)
+    year, month = divmod(until.year * 12 + until.month - months, 12)
+    return datetime(year, month + 1, 1)
+
+
 def literal_like(moment: datetime, dtype: T.DataType) -> Column:
     """``moment`` as a foldable literal of the same type as the column it meets.
 
@@ -43,8 +50,11 @@ def recent(
     days: float | None = None,
     hours: float | None = None,
     whole_days: bool = False,
+    since: datetime | None = None,
 ) -> DataFrame:
-    """Rows of the last ``days``/``hours`` up to ``as_of``; both unset keeps all history.
+    """Rows of the last ``days``/``hours`` up to ``as_of``, or those from ``since`` on.
+
+    With none of them set all history is kept.
 
     On a DATE column the start is compared as a timestamp, so a start after
     midnight leaves out its own day; ``whole_days`` compares dates instead.
@@ -54,9 +64,9 @@ def recent(
     until = parse_as_of(as_of)
     dtype = df.schema[time_col].dataType
     keep = F.col(time_col) <= literal_like(until, dtype)
-    since = None
     if days is not None or hours is not None:
         since = until - timedelta(days=days or 0, hours=hours or 0)
+    if since is not None:
         if whole_days:
             since = datetime.combine(since.date(), time())
         first = since

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.functions.money import dec, ratio, total
+from spendlens.functions.money import dec, quotient, resummed, total
 from spendlens.functions.time import recent
 from spendlens.operators.attribution import AI_SERVICE_TYPES, of_types
 from spendlens.plans.rollup import FUNCTION_LOG, Usage
@@ -23,7 +23,7 @@ def _daily(metering: DataFrame, as_of, days: int, types) -> DataFrame:
 
 def _change(now: Column, before: Column) -> Column:
     """Change in percent, one decimal; NULL when there is nothing to compare."""
-    return F.round(ratio((now - before) * dec(100), before), 1)
+    return quotient(now - before, before, 1, times=100)
 
 
 def _compared(daily: DataFrame, amber: float, red: float) -> DataFrame:
@@ -117,7 +117,7 @@ def user_weekly_spike(calls, users, as_of, days=60, over=3) -> DataFrame:
         .agg(log.credits().alias("c"))
         .join(users.select("user_id", F.col("name").alias("user_name")), "user_id", "left")
         .groupBy("user_name", "week")
-        .agg(F.sum("c").alias("c"))
+        .agg(resummed("c").alias("c"))
     )
     before = Window.partitionBy("user_name").orderBy("week").rowsBetween(-4, -1)
     return (
@@ -128,7 +128,7 @@ def user_weekly_spike(calls, users, as_of, days=60, over=3) -> DataFrame:
             F.sum("c").over(before).alias("s"),
             F.count("c").over(before).alias("k"),
         )
-        .withColumn("m", F.round(ratio(F.col("c") * F.col("k"), F.col("s")), 1))
+        .withColumn("m", quotient(F.col("c") * F.col("k").cast("decimal(1,0)"), F.col("s"), 1))
         .where(F.col("m") > dec(over))
         .select(
             "user_name",

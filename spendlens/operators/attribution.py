@@ -18,7 +18,9 @@ from spendlens.functions.money import (
     credit,
     dec,
     dollars,
+    quotient,
     ratio,
+    resummed,
     rounded,
     total,
 )
@@ -61,7 +63,7 @@ def spend_by_user(calls, users, as_of, days=7, price=PRICE_PER_CREDIT) -> DataFr
         .groupBy(F.col("name").alias("user_name"))
         .agg(
             F.sum("n").alias("ai_call_count"),
-            F.sum("c").alias("c"),
+            resummed("c").alias("c"),
             F.min("first_call").alias("first_call"),
             F.max("last_call").alias("last_call"),
         )
@@ -238,7 +240,7 @@ def tag_coverage(usage, as_of, days=30, good=90, warn=50) -> DataFrame:
         F.sum(spent).alias("all"),
     )
     tagged_pct = F.coalesce(
-        F.round(ratio(F.col("Tagged_credits") * dec(100), F.col("all")), 1), dec(0)
+        quotient(F.col("Tagged_credits"), F.col("all"), 1, times=100), dec(0)
     )
     grade = F.when(tagged_pct >= good, "good").when(tagged_pct >= warn, "warn").otherwise("bad")
     lines = [
@@ -256,7 +258,7 @@ def tag_coverage(usage, as_of, days=30, good=90, warn=50) -> DataFrame:
             "line.attribution",
             "line.calls",
             F.col("line.c").cast("double").alias("credits"),
-            rounded(ratio(F.col("line.c") * dec(100), F.col("all")), 1).alias("pct_of_total"),
+            quotient(F.col("line.c"), F.col("all"), 1, times=100).cast("double").alias("pct_of_total"),
             "grade",
         )
     )

@@ -7,15 +7,15 @@ the host's part.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.functions.money import credit, dec, ratio, rounded
+from spendlens.functions.money import credit, dec, quotient, resummed
 from spendlens.functions.tags import tag_value
-from spendlens.functions.time import recent, truncated
+from spendlens.functions.time import literal_like, month_start, parse_as_of, recent, truncated
 from spendlens.plans.running import rolling_totals, running_totals
-from spendlens.plans.small import if_small
 
 # Tag keys every call should carry.
 REQUIRED_TAG_KEYS = ("team", "project", "env")
@@ -32,6 +32,11 @@ DAILY_LIMIT = 20
 CAP_HOURS = 24
 
 
+def _window(df: DataFrame, time_col: str, as_of, days) -> DataFrame:
+    """The rows of a window; without ``as_of`` all of them."""
+    return df if as_of is None else recent(df, time_col, as_of, days=days)
+
+
 def surfaces(**usage: DataFrame) -> DataFrame:
     """Union of assistant logs with the surface name in its own column."""
     columns = ("request_id", "user_id", "user_name", "event_timestamp", "total_credits")
@@ -52,29 +57,36 @@ def rolling_cap(
     keys: Sequence[str] = ("user_id", "surface"),
     time_col="event_timestamp",
     credit_col="total_credits",
-    block="1 hour",
+    block="1 minute",
+    as_of=None,
+    days=None,
 ) -> DataFrame:
     """Every call with its user's rolling spend, limit and an over-limit flag.
 
     The window rolls over the ``hours`` before each call, and surfaces count
     apart. ``overrides`` (user_id, credits, and surface where limits differ by
     surface) has one row per exception. This audits what was spent: a call over
-    the limit still counts towards later ones.
+    the limit still counts towards later ones. A call without a time has no rolling
+    spend and no flag. With ``as_of`` and ``days`` only the calls of that window are
+    returned, and the calls of the ``hours`` before it still count.
     """
+    if as_of is not None:
+        before = None if days is None else hours
+        calls = recent(calls, time_col, as_of, days=days, hours=before)
     spent = calls.withColumn(credit_col, credit(credit_col))
     rolled = rolling_totals(spent, keys, time_col, credit_col, hours, block)
     cap = dec(limit).cast("decimal(18,9)")
     if overrides is not None:
         on = [k for k in keys if k in overrides.columns]
-        rolled = rolled.join(
-            if_small(
-                overrides.select(*on, F.col("credits").cast("decimal(18,9)").alias("_cap"))
-            ),
-            on,
-            "left",
-        )
+        caps = overrides.select(*on, F.col("credits").cast("decimal(18,9)").alias("_cap"))
+        rolled = rolled.join(caps, on, "left")
         cap = F.coalesce("_cap", cap)
     rolling = F.col(f"rolling_{credit_col}")
+    if as_of is not None and days is not None:
+        start = parse_as_of(as_of) - timedelta(days=days)
+        rolled = rolled.where(
+            F.col(time_col) >= literal_like(start, calls.schema[time_col].dataType)
+        )
     return rolled.select(
         *calls.columns,
         rolling.alias("rolling_credits"),
@@ -105,19 +117,22 @@ def budget_burn(
     time_col="usage_time",
     credit_col="token_credits",
     thresholds: Sequence[float] = BUDGET_THRESHOLDS,
+    months: int | None = 1,
 ) -> DataFrame:
     """Spend per budget scope and month, and when it first reached each threshold.
 
     ``limits`` has scope and credits per month; calls of other scopes are left
     out. One row per scope, month and threshold with spend, with a NULL
-    crossing while the threshold is not reached.
+    crossing while the threshold is not reached. With ``as_of`` the calls of the last
+    ``months`` calendar months count, the month of ``as_of`` included: month to date
+    by default, all history with None.
 
     A running total over all calls of a scope would put an account-wide budget
     into one task. Instead sums per minute find the minute in which a threshold
     can be crossed, and only the calls of those minutes are put in order.
     """
     if as_of is not None:
-        calls = recent(calls, time_col, as_of)
+        calls = recent(calls, time_col, as_of, since=months and month_start(as_of, months))
     # A call without a time belongs to no month. Tying the scope to the time also
     # keeps a constant scope a join key, where it would fold into a cross join.
     spent = calls.select(
@@ -150,13 +165,13 @@ def budget_burn(
     months = (
         spent.groupBy("scope", "month", "minute")
         .agg(F.sum("c").alias("spend"), F.sum(F.greatest("c", dec(0))).alias("most"))
-        .join(if_small(budgets), "scope")
+        .join(budgets, "scope")
         .withColumn("before", F.sum("spend").over(earlier))
         .withColumn("peak", F.max(before + spend).over(earlier))
         .withColumn("hits", F.array_compact(hits))
         .groupBy("scope", "month", "budget")
         .agg(
-            F.sum("spend").alias("spend"),
+            resummed("spend").alias("spend"),
             F.flatten(F.collect_list(F.when(F.size("hits") > 0, F.col("hits")))).alias("hits"),
         )
         # One row per scope and month: a small exchange that all later uses share.
@@ -169,10 +184,11 @@ def budget_burn(
         .select("scope", "month", "budget", "spend", "pct", "hit.minute", "hit.before")
         .withColumn("target", F.col("budget") * F.col("pct") * dec("0.01"))
     )
-    # The clock bounds this list: it holds minutes, whatever the number of scopes.
-    minutes = steps.where(F.col("minute").isNotNull()).select("minute").distinct()
+    minutes = (
+        steps.where(F.col("minute").isNotNull()).select("scope", "month", "minute").distinct()
+    )
     moments = (
-        spent.join(F.broadcast(minutes), "minute", "left_semi")
+        spent.join(minutes, ["scope", "month", "minute"], "left_semi")
         .groupBy("scope", "month", "minute", "at")
         .agg(F.sum("c").alias("c"))
     )
@@ -194,7 +210,7 @@ def budget_burn(
             "month",
             F.col("budget").cast("double").alias("budget"),
             F.col("spend").cast("double").alias("spend"),
-            rounded(ratio(F.col("spend") * dec(100), F.col("budget")), 1).alias("pct_used"),
+            quotient(F.col("spend"), F.col("budget"), 1, times=100).cast("double").alias("pct_used"),
             F.col("pct").cast("double").alias("threshold_pct"),
             "crossed_at",
         )
@@ -202,19 +218,22 @@ def budget_burn(
     )
 
 
-def model_allowlist(calls, models: str | Sequence[str] = "ALL") -> DataFrame:
+def model_allowlist(
+    calls, models: str | Sequence[str] = "ALL", as_of=None, days=None, time_col="start_time"
+) -> DataFrame:
     """Calls the allowlist would block.
 
     ``"ALL"`` blocks nothing and ``"NONE"`` everything; otherwise only the
     listed models pass, given as a sequence or one comma-separated text. Calls
-    of managed functions name no model and pass any list.
+    of managed functions name no model and pass any list, an empty one included.
     """
+    calls = _window(calls, time_col, as_of, days)
     if isinstance(models, str):
         mode = models.strip().upper()
         if mode in ("ALL", "NONE"):
             return calls.where(F.lit(mode == "NONE"))
         models = [m.strip() for m in models.split(",") if m.strip()]
-    return calls.where(~F.col("model_name").isin(*models))
+    return calls.where(F.col("model_name").isNotNull() & ~F.col("model_name").isin(*models))
 
 
 def run_budget(
@@ -226,11 +245,16 @@ def run_budget(
     max_tokens=RUN_TOKENS,
     max_seconds=RUN_SECONDS,
     block_steps=1_000,
+    as_of=None,
+    days=None,
+    time_col="event_timestamp",
 ) -> DataFrame:
     """Agent runs over their token or time budget, with the first step over it.
 
-    ``tokens`` and ``seconds`` are what each step used.
+    ``tokens`` and ``seconds`` are what each step used. A window takes the steps in
+    it, so a run that began before it counts from there on.
     """
+    steps = _window(steps, time_col, as_of, days)
     per_step = steps.groupBy(run, step).agg(
         F.sum(tokens).alias("tokens"), F.sum(seconds).alias("seconds")
     )
@@ -258,14 +282,20 @@ def run_budget(
     )
 
 
-def role_grant_check(calls, approved: Sequence[str]) -> DataFrame:
+def role_grant_check(
+    calls, approved: Sequence[str], as_of=None, days=None, time_col="start_time"
+) -> DataFrame:
     """Calls made with no approved role, calls without any role included."""
+    calls = _window(calls, time_col, as_of, days)
     granted = F.arrays_overlap("role_names", F.lit(list(approved)))
     return calls.where(~F.coalesce(granted, F.lit(False)))
 
 
-def tag_format_check(usage, required: Sequence[str] = REQUIRED_TAG_KEYS) -> DataFrame:
+def tag_format_check(
+    usage, required: Sequence[str] = REQUIRED_TAG_KEYS, as_of=None, days=None, time_col="usage_time"
+) -> DataFrame:
     """Calls whose tag lacks a required key, with the missing keys listed."""
+    usage = _window(usage, time_col, as_of, days)
     tag = F.col("query_tag")
     missing = F.concat_ws(
         ",", *[F.when(tag_value(tag, key).isNull(), F.lit(key)) for key in required]

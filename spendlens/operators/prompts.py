@@ -19,6 +19,7 @@ from spendlens.functions.money import (
 from spendlens.functions.text import (
     FILLER_PHRASES,
     estimate_tokens,
+    estimate_tokens_of,
     phrase_pattern,
     score_label,
 )
@@ -205,9 +206,11 @@ def dedupe_inputs(docs, text="text", key="doc_id") -> tuple[DataFrame, DataFrame
     """Distinct texts to process, and the map from every row back to its text.
 
     The first frame holds one row of ``docs`` per distinct text, under its
-    smallest key. The second has (key, input_key, copies). Only keys and hashes
-    are shuffled to find the copies, and a text copied into a large share of
-    the rows is split over many tasks.
+    smallest key. The second has (key, input_key, copies), one row for each row of
+    ``docs`` with a text, whether keys repeat or not. Only keys and hashes are
+    shuffled for the map, and a text copied into a large share of the rows is
+    split over many tasks. For the first frame each distinct text moves once, copies
+    in one task being put together before.
     """
     hashed = _hashed(docs, text)
     groups = _text_groups(hashed, key)
@@ -218,8 +221,11 @@ def dedupe_inputs(docs, text="text", key="doc_id") -> tuple[DataFrame, DataFrame
         hot_keys(groups, "text_hash", "copies"),
         row_id=key,
     )
-    first = groups.select(F.col("input_key").alias(key))
-    return docs.join(first, key, "left_semi"), mapping.drop("text_hash")
+    order = F.struct(F.col(key).isNull(), F.col(key))
+    first = hashed.groupBy("text_hash").agg(
+        F.min_by(F.struct(*docs.columns), order).alias("first")
+    )
+    return first.select("first.*"), mapping.drop("text_hash")
 
 
 Scorer = Callable[[pd.Series], pd.DataFrame]
@@ -239,20 +245,30 @@ def enrich(
     The scorer takes a Series of texts and returns a frame with the columns of
     ``schema`` in the same row order. Rows in ``ledger`` are left out, each
     distinct text is scored once, and a text over ``max_tokens`` keeps its row
-    with NULL labels instead of failing the batch. Returns key and labels.
+    with NULL labels instead of failing the batch. Returns key and labels, one row for
+    each row of ``docs``, whether keys repeat or not.
     """
     if ledger is not None:
         docs = new_rows_only(docs, ledger, key)
     fields = _fields(docs, schema)
     labels = [f.name for f in fields]
-    hashed = _hashed(docs, text)
+    text_hash = F.sha2(F.col(text), 256)
     if max_tokens is not None:
-        hashed = hashed.where(estimate_tokens(F.col(text)) <= max_tokens)
-    groups = _text_groups(hashed, key)
-    # The hash goes along with the text, so labels come back keyed by it.
-    unique = hashed.select(
-        F.col(key).alias("input_key"), "text_hash", F.col(text).alias("_text")
-    ).join(groups, ["input_key", "text_hash"])
+        text_hash = F.when(estimate_tokens(F.col(text)) <= max_tokens, text_hash)
+    rows = docs.select(F.col(key), text_hash.alias("text_hash"))
+    groups = (
+        rows.where(F.col("text_hash").isNotNull())
+        .groupBy("text_hash")
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    # The hash goes along with the text, so labels come back keyed by it. This is the
+    # only shuffle of texts: each one to be scored moves once.
+    unique = (
+        docs.select(F.col(text).alias("_text"), text_hash.alias("text_hash"))
+        .where(F.col("text_hash").isNotNull())
+        .groupBy("text_hash")
+        .agg(F.any_value("_text").alias("_text"))
+    )
 
     def score(batches):
         for batch in batches:
@@ -263,14 +279,8 @@ def enrich(
     scored = unique.mapInPandas(
         score, T.StructType([T.StructField("text_hash", T.StringType()), *fields])
     )
-    labelled = lookup(
-        hashed.select(key, "text_hash"),
-        scored,
-        "text_hash",
-        hot_keys(groups, "text_hash", "copies"),
-        row_id=key,
-    )
-    return docs.select(key).join(labelled.select(key, *labels), key, "left")
+    hot = hot_keys(groups, "text_hash", "copies")
+    return lookup(rows, scored, "text_hash", hot, row_id=key).select(key, *labels)
 
 
 def _fields(docs: DataFrame, schema: str | T.StructType) -> list[T.StructField]:
@@ -311,17 +321,16 @@ def prompt_filler_scan(
     docs, phrases: Sequence[str] = FILLER_PHRASES, text="text", key="doc_id"
 ) -> DataFrame:
     """Rows with filler phrases: how many, and the tokens their removal saves."""
-    pattern = phrase_pattern(phrases)
     column = F.col(text)
-    lean = F.regexp_replace(column, pattern, "")
-    return (
-        docs.where(column.rlike(pattern))
-        .select(
-            key,
-            F.regexp_count(column, F.lit(pattern)).cast("bigint").alias("phrases"),
-            estimate_tokens(column).alias("tokens"),
-            (estimate_tokens(column) - estimate_tokens(lean)).alias("tokens_saved"),
-        )
+    found = F.regexp_extract_all(column, F.lit(phrase_pattern(phrases)), F.lit(0))
+    rows = docs.select(key, F.length(column).alias("chars"), found.alias("found"))
+    tokens = estimate_tokens_of(F.col("chars"))
+    lean = F.col("chars") - F.length(F.array_join("found", ""))
+    return rows.where(F.size("found") > 0).select(
+        key,
+        F.size("found").cast("bigint").alias("phrases"),
+        tokens.alias("tokens"),
+        (tokens - estimate_tokens_of(lean)).alias("tokens_saved"),
     )
 
 
@@ -338,12 +347,12 @@ def prompt_overhead(
     )
 
 
-def feedback_table(customer, nation, as_of, comments=None, limit: int | None = 500) -> DataFrame:
-    """Sample feedback table: customers with their country and comment text.
+def feedback_table(customer, nation, as_of, comments=None, limit: int | None = None) -> DataFrame:
+    """Feedback table: customers with their country and comment text.
 
     ``comments`` (customer_id, feedback_text) supplies the text; without it the
-    customer table must have c_comment. A limit takes the lowest customer ids,
-    so that the sample is the same in every run.
+    customer table must have c_comment. A sample is asked for by its ``limit``: the
+    lowest customer ids, the same in every run.
     """
     moment = parse_as_of(as_of)
     if comments is None:

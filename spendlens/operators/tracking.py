@@ -12,7 +12,9 @@ from spendlens.functions.money import (
     credit,
     dec,
     dollars,
+    quotient,
     ratio,
+    resummed,
     rounded,
     total,
 )
@@ -77,7 +79,7 @@ def _by(
     return (
         _only_users(per_user, users, user_like)
         .groupBy(*names)
-        .agg(F.sum("calls").alias("calls"), F.sum("credits").alias("credits"))
+        .agg(F.sum("calls").alias("calls"), resummed("credits").alias("credits"))
     )
 
 
@@ -177,11 +179,14 @@ def recent_ai_queries(history, user, as_of, hours=1, patterns=AI_PATTERNS) -> Da
     )
 
 
-def latest_ai_queries(history, as_of, limit=50, patterns=AI_PATTERNS) -> DataFrame:
-    """Of the latest ``limit`` statements, those that use AI functions."""
+def latest_ai_queries(history, as_of, limit=50, patterns=AI_PATTERNS, days=None) -> DataFrame:
+    """Of the latest ``limit`` statements, those that use AI functions.
+
+    ``days`` bounds how far back a stored log is read; None reads all of it.
+    """
     newest = (F.desc_nulls_first("start_time"), F.asc("query_id"))
     return (
-        recent(history, "start_time", as_of)
+        recent(history, "start_time", as_of, days=days)
         .select("query_id", "query_text", "start_time", "total_elapsed_time")
         .orderBy(*newest)
         .limit(limit)
@@ -204,7 +209,7 @@ def quota_status(monitors, name=None) -> DataFrame:
         F.col("name").alias("monitor_name"),
         quota.cast("double").alias("credit_quota"),
         rounded(used, 2).alias("credits_used"),
-        rounded(ratio(used * dec(100), quota), 2).alias("pct_used"),
+        quotient(used, quota, 2, times=100).cast("double").alias("pct_used"),
         rounded(credit("credits_used_compute"), 2).alias("credits_used_compute"),
         rounded(credit("credits_used_cloud_services"), 4).alias("credits_used_cloud_services"),
     )
@@ -234,7 +239,13 @@ def _sample(calls: DataFrame, query_ids: DataFrame | Sequence[str] | None) -> Da
     return calls.where(F.col("query_id").isin(*query_ids))
 
 
-def project_cost(calls, query_ids, price=PRICE_PER_CREDIT) -> DataFrame:
+def _window(calls: DataFrame, as_of, days) -> DataFrame:
+    return calls if as_of is None else recent(calls, "start_time", as_of, days=days)
+
+
+def project_cost(
+    calls, query_ids, price=PRICE_PER_CREDIT, as_of=None, days=None
+) -> DataFrame:
     """Cost of a sample scaled by 100, 10,000 and 100,000.
 
     The factors are fixed: they mean 500, 50k and 500k rows for a five-row
@@ -242,7 +253,7 @@ def project_cost(calls, query_ids, price=PRICE_PER_CREDIT) -> DataFrame:
     """
     c, n = F.col("c"), F.col("n")
     return (
-        _sample(calls, query_ids)
+        _sample(_window(calls, as_of, days), query_ids)
         .agg(total("credits").alias("c"), F.count(F.lit(1)).alias("n"))
         .select(
             c.cast("double").alias("sample_credits"),
@@ -257,7 +268,13 @@ def project_cost(calls, query_ids, price=PRICE_PER_CREDIT) -> DataFrame:
 
 
 def project_to_rows(
-    calls, query_ids=None, sample_rows=None, targets=TARGET_ROWS, price=PRICE_PER_CREDIT
+    calls,
+    query_ids=None,
+    sample_rows=None,
+    targets=TARGET_ROWS,
+    price=PRICE_PER_CREDIT,
+    as_of=None,
+    days=None,
 ) -> DataFrame:
     """Cost of a sample per processed row, and for each target number of rows.
 
@@ -268,7 +285,7 @@ def project_to_rows(
     usable = (F.col("c") > 0) & (F.col("rows") > 0)
     scaled = F.when(usable, F.col("c") * F.col("target_rows"))
     return (
-        _sample(calls, query_ids)
+        _sample(_window(calls, as_of, days), query_ids)
         .agg(total("credits").alias("c"), rows.alias("rows"))
         .select("c", "rows", F.explode(F.lit(list(targets))).alias("target_rows"))
         .select(
@@ -380,9 +397,14 @@ def assistant_by_user_model(
     )
 
 
-def assistant_detail(usage) -> DataFrame:
-    """One row per request and model, newest first."""
-    return (
+def assistant_detail(usage, as_of=None, days=None, n=None) -> DataFrame:
+    """One row per request and model of a window; the newest ``n`` of them in order.
+
+    Without ``n`` the rows are not sorted: a whole log has no use for a global order.
+    """
+    if as_of is not None:
+        usage = recent(usage, "event_timestamp", as_of, days=days)
+    detail = (
         usage.select(
             "user_name",
             "event_timestamp",
@@ -399,8 +421,10 @@ def assistant_detail(usage) -> DataFrame:
             "tokens",
             "credits",
         )
-        .orderBy(F.desc_nulls_first("event_timestamp"), "user_name", "model")
     )
+    if n is None:
+        return detail
+    return detail.orderBy(F.desc_nulls_first("event_timestamp"), "user_name", "model").limit(n)
 
 
 def daily_function_trend(calls, as_of, days=30) -> DataFrame:
@@ -431,7 +455,7 @@ def kpis(
         .join(named.select("user_id", "name"), "user_id", "inner" if user_like else "left")
         .agg(
             F.coalesce(F.sum("calls"), F.lit(0)).alias("n"),
-            F.sum("credits").alias("c"),
+            resummed("credits").alias("c"),
             F.countDistinct("name").alias("unique_users"),
         )
         .select(

@@ -14,7 +14,9 @@ from spendlens.functions.money import (
     dollars,
     mean,
     per_million,
+    quotient,
     ratio,
+    resummed,
     rounded,
     total,
 )
@@ -232,7 +234,7 @@ def idle_services(search, as_of, days=30, standing_types=("INDEXING",)) -> DataF
             "service_name",
             F.col("idx").cast("double").alias("idx_credits"),
             F.col("qry").cast("double").alias("qry_credits"),
-            rounded(ratio(F.col("qry") * dec(100), F.col("idx")), 1).alias("query_pct"),
+            quotient(F.col("qry"), F.col("idx"), 1, times=100).cast("double").alias("query_pct"),
         )
         .orderBy(F.asc_nulls_last("query_pct"), "service_name")
     )
@@ -318,7 +320,7 @@ def heavy_call_users(usage, users, as_of, days=7, avg_over=0.01) -> DataFrame:
         .groupBy("user_name")
         .agg(
             F.sum("n").alias("total_calls"),
-            F.sum("c").alias("c"),
+            resummed("c").alias("c"),
             F.max("hi").cast("double").alias("max_single_call"),
         )
         .where(F.col("c") > F.col("total_calls") * dec(avg_over))

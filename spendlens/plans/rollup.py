@@ -10,12 +10,12 @@ in the rollup.
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.functions.money import credit, total
+from spendlens.functions.money import credit, resummed, total
 from spendlens.functions.time import EVENT_DATE, parse_as_of, recent, truncated
 
 #: Time and credit column of the two call logs.
@@ -24,9 +24,12 @@ SQL_LOG = ("usage_time", "token_credits")
 
 _MARK = "credits_sum"
 
+#: Columns that only a rollup has together.
+_ROLLED = {"hour", "calls", _MARK, "credits_min", "credits_max", "tokens_sum"}
+
 
 def is_rollup(df: DataFrame) -> bool:
-    return _MARK in df.columns
+    return _ROLLED <= set(df.columns)
 
 
 def hourly_rollup(log: DataFrame, time_col: str, credit_col: str) -> DataFrame:
@@ -70,10 +73,11 @@ class Usage:
         hours: float | None = None,
     ) -> Usage:
         moment = parse_as_of(as_of)
+        start = moment - timedelta(days=days or 0, hours=hours or 0)
         df = recent(self.df, self.time_col, moment, days=days, hours=hours)
         if self.rolled:
-            if (moment.minute, moment.second, moment.microsecond) != (0, 0, 0):
-                raise ValueError("a rollup answers only for an as_of on the hour")
+            if any((t.minute, t.second, t.microsecond) != (0, 0, 0) for t in (start, moment)):
+                raise ValueError("a rollup answers only for windows of whole hours")
             # The hour that starts at as_of lies after it.
             df = df.where(F.col("hour") < F.lit(str(moment)).cast(df.schema["hour"].dataType))
         return replace(self, df=df)
@@ -88,7 +92,7 @@ class Usage:
         return F.sum("calls") if self.rolled else F.count(F.lit(1))
 
     def credits(self) -> Column:
-        return F.sum(_MARK) if self.rolled else total(self.credit_col)
+        return resummed(_MARK) if self.rolled else total(self.credit_col)
 
     def least(self) -> Column:
         return F.min("credits_min") if self.rolled else F.min(credit(self.credit_col))

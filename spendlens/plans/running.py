@@ -63,32 +63,48 @@ def rolling_totals(
     time_col: str,
     value: str,
     hours: int = 24,
-    block: str = "1 hour",
+    block: str = "1 minute",
 ) -> DataFrame:
     """Add ``rolling_<value>``: the total over the ``hours`` up to each row.
 
-    Rows without a time fall into no window and are left out. Both ends count,
-    as in ``RANGE BETWEEN n HOURS PRECEDING AND CURRENT ROW``.
-    Every row adds its value when it happens and takes it back one microsecond
-    after the window has passed it; the rolling total is then the running total
-    of those moves, which splits into blocks.
+    Both ends count, as in ``RANGE BETWEEN n HOURS PRECEDING AND CURRENT ROW``. A row
+    without a time is in no window and gets NULL.
+
+    Values are first summed per key and instant. An instant adds its sum when it
+    happens and takes it back one microsecond after the window has passed it; the
+    rolling total is then the running total of those moves, which splits into
+    blocks. Only keys, instants and sums take part; the rows meet the result once.
     """
-    gone = F.col(time_col) + F.expr(f"INTERVAL '{int(hours) * 3600}.000001' SECOND")
-    added = F.struct(
-        F.col(time_col).alias("_at"), F.col(value).alias("_change"), F.lit(True).alias("_real")
-    )
-    removed = F.struct(
-        gone.alias("_at"), (-F.col(value)).cast(df.schema[value].dataType).alias("_change"),
-        F.lit(False).alias("_real"),
+    instants = (
+        df.where(F.col(time_col).isNotNull())
+        .groupBy(*keys, F.col(time_col).alias("_at"))
+        .agg(F.sum(value).alias("_change"))
     )
-    moves = df.withColumn("_move", F.explode(F.array(added, removed))).select(
-        *df.columns, "_move._at", "_move._change", "_move._real"
+    gone = F.col("_at") + F.expr(f"INTERVAL '{int(hours) * 3600}.000001' SECOND")
+    change = F.col("_change").cast("decimal(28,9)")
+    added = F.struct(F.col("_at"), change.alias("_change"), F.lit(True).alias("_real"))
+    removed = F.struct(gone.alias("_at"), (-change).alias("_change"), F.lit(False).alias("_real"))
+    moves = instants.select(*keys, F.explode(F.array(added, removed)).alias("_move")).select(
+        *keys, "_move._at", "_move._change", "_move._real"
     )
-    total = running_totals(
-        moves, keys, "_at", ["_change"], F.window("_at", block).start, prefix="_total"
+    block_start = F.window("_at", block).start
+    totals = (
+        running_totals(moves, keys, "_at", ["_change"], block_start, prefix="_total")
+        .where("_real")
+        .select(
+            *[F.col(k).alias(f"_{k}") for k in keys],
+            F.col("_at"),
+            F.lit(0).cast("bigint").alias("_apart"),
+            F.col("_total_change").cast("decimal(28,9)").alias(f"rolling_{value}"),
+        )
     )
+    # Rows without a time find nothing; a hash keeps them from meeting in one task.
+    apart = F.when(F.col(time_col).isNull(), F.xxhash64(*df.columns)).otherwise(0)
+    same = (F.col(time_col) == F.col("_at")) & (F.col("_spread") == F.col("_apart"))
+    for key in keys:
+        same &= F.col(key).eqNullSafe(F.col(f"_{key}"))
     return (
-        total.where("_real")
-        .withColumnRenamed("_total_change", f"rolling_{value}")
-        .drop("_at", "_change", "_real")
+        df.withColumn("_spread", apart)
+        .join(totals, same, "left")
+        .select(*df.columns, f"rolling_{value}")
     )

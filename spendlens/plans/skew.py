@@ -5,58 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Keys that are split. Outside the n most frequent keys no key owns more than
-#: 1/(n+1) of the rows, whatever the size of the data.
-HOT_KEYS = 2_000
 
-#: Rows below which a key is no burden to one task and stays whole.
-HOT_ROWS = 10_000
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-#: Parts a hot key is split into.
-SALTS = 256
 
+def hot_keys(groups: DataFrame, key: str, count: str) -> DataFrame:
+    """Keys with more rows than an even share of a shuffle partition, and the parts to cut each into.
 
-def hot_keys(
-    groups: DataFrame, key: str, count: str, n: int = HOT_KEYS, at_least: int = HOT_ROWS
-) -> DataFrame:
-    """Up to ``n`` keys with the most rows, of a table with one row and a count per key.
-
-    Ties are broken by all columns, which also leaves the grouping as it is for
-    other uses of ``groups``, so that Spark runs it once.
+    ``groups`` has one row and a count per key. A key is hot when it owns more than
+    1/p of all rows, p being the number of shuffle partitions, so there are fewer than
+    p of them whatever the data, and their parts come to fewer than 2 p.
     """
-    others = [c for c in groups.columns if c not in (key, count)]
-    frequent = groups.where(F.col(count) >= at_least)
-    return frequent.orderBy(F.desc(count), key, *others).limit(n).select(key)
+    p = _partitions(groups)
+    total = groups.agg(F.sum(count)).scalar()
+    share = F.col(count) * p
+    return groups.where(share > total).select(
+        key, F.ceil(share / total).cast("int").alias("parts")
+    )
 
 
 def lookup(
-    rows: DataFrame,
-    values: DataFrame,
-    key: str,
-    hot: DataFrame,
-    row_id: str,
-    salts: int = SALTS,
+    rows: DataFrame, values: DataFrame, key: str, hot: DataFrame, row_id: str
 ) -> DataFrame:
     """Left join of ``rows`` with ``values`` (one row per key) on ``key``.
 
-    Rows of a hot key are spread over ``salts`` parts by ``row_id`` and its
-    value is copied to each part; rows without a key are spread likewise. Only
-    the list of hot keys is broadcast, and its length is fixed. ``values`` is
-    evaluated once.
+    Rows of a hot key are spread over its parts by ``row_id`` and its value is copied
+    to each part; rows without a key are spread over all partitions. Only the list of
+    hot keys is broadcast, which has fewer rows than there are shuffle partitions.
+    ``values`` is evaluated once.
     """
-    marked = F.broadcast(hot.select(F.col(key).alias("_hot")))
-    part = F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
-    spread = F.col("_hot").isNotNull() | F.col(key).isNull()
+    marked = F.broadcast(hot.select(F.col(key).alias("_hot"), F.col("parts").alias("_parts")))
+    spread = F.coalesce("_parts", F.when(F.col(key).isNull(), F.lit(_partitions(rows))), F.lit(1))
     left = (
         rows.join(marked, F.col(key) == F.col("_hot"), "left")
-        .withColumn("_part", F.when(spread, part).otherwise(0))
-        .drop("_hot")
+        .withColumn("_part", F.pmod(F.xxhash64(row_id), spread).cast("int"))
+        .drop("_hot", "_parts")
     )
-    parts = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1)))
+    parts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
     right = (
         values.join(marked, F.col(key) == F.col("_hot"), "left")
-        .withColumn("_part", F.explode(F.coalesce(parts, F.array(F.lit(0)))))
-        .drop("_hot")
+        .withColumn("_part", F.explode(parts))
+        .drop("_hot", "_parts")
     )
     return left.join(right, [key, "_part"], "left").select(
         *rows.columns, *[c for c in values.columns if c != key]

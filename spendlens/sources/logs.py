@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from spendlens.functions.time import EVENT_DATE
+from spendlens.functions.time import EVENT_DATE, literal_like, parse_as_of
 from spendlens.plans.rollup import hourly_rollup
 from spendlens.schema import TABLES, conform
 
@@ -64,7 +64,8 @@ def refresh_rollup(
     rewritten, so running it twice changes nothing.
     """
     if since is not None:
-        log = log.where(F.to_date(time_col) >= F.lit(since).cast("date"))
+        first = literal_like(parse_as_of(since), log.schema[time_col].dataType)
+        log = log.where(F.col(time_col) >= first)
         if EVENT_DATE in log.columns:
             log = log.where(F.col(EVENT_DATE) >= F.lit(since).cast("date"))
     (

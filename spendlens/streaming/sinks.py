@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,14 +17,11 @@ _BATCH = "batch_id"
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the checkpoint folder the cluster names.
 
-    A local session without one gets a temporary folder; anywhere else the
-    setting is required, since executors cannot see the driver's disk.
+    Without the setting there is no folder that all executors are known to share.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="spendlens-")
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -79,17 +75,21 @@ def write_rows(
     return (writer.trigger(availableNow=True) if available_now else writer).start(path)
 
 
-def drain_updates(stream: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Run an update-mode stream over all data that is there; return its state."""
+def drain_updates(stream: DataFrame, keys: list[str], folder: str) -> DataFrame:
+    """Run an update-mode stream over all data that is there; return its state.
+
+    Checkpoint and results stay in ``folder``, which all executors must reach.
+    """
     spark = stream.sparkSession
-    folder = shared_folder(spark, name)
     write_updates(stream, f"{folder}/rows", f"{folder}/checkpoint", True).awaitTermination()
     return read_updates(spark, f"{folder}/rows", keys, stream.schema)
 
 
-def drain_rows(stream: DataFrame, name: str) -> DataFrame:
-    """Run an append-mode stream over all data that is there; return its rows."""
+def drain_rows(stream: DataFrame, folder: str) -> DataFrame:
+    """Run an append-mode stream over all data that is there; return its rows.
+
+    Checkpoint and results stay in ``folder``, which all executors must reach.
+    """
     spark = stream.sparkSession
-    folder = shared_folder(spark, name)
     write_rows(stream, f"{folder}/rows", f"{folder}/checkpoint", True).awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/rows")

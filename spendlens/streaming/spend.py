@@ -17,9 +17,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from spendlens.functions.money import PRICE_PER_CREDIT, credit, dec, dollars, ratio, rounded
+from spendlens.functions.money import (
+    PRICE_PER_CREDIT,
+    credit,
+    dec,
+    dollars,
+    quotient,
+    ratio,
+    rounded,
+)
 from spendlens.operators.controls import BUDGET_THRESHOLDS, CAP_HOURS, DAILY_LIMIT
-from spendlens.plans.small import if_small
 
 #: Delay of the source logs.
 LOG_DELAY = "45 minutes"
@@ -81,12 +88,12 @@ def stream_budget_burn(
     for step in sorted(thresholds):
         reached = F.when(used >= dec(step), F.lit(float(step))).otherwise(reached)
     budgets = limits.select("scope", credit("credits").alias("budget"))
-    return spent.join(if_small(budgets), "scope").select(
+    return spent.join(budgets, "scope").select(
         "scope",
         "month",
         F.col("budget").cast("double").alias("budget"),
         F.col("c").cast("double").alias("spend"),
-        rounded(used, 1).alias("pct_used"),
+        quotient(F.col("c"), F.col("budget"), 1, times=100).cast("double").alias("pct_used"),
         reached.alias("reached_pct"),
     )
 

@@ -10,7 +10,7 @@ from spendlens.functions.tags import tag_value
 from spendlens.functions.text import estimate_tokens
 from spendlens.functions.time import recent
 from spendlens.operators import anomaly, attribution, controls, prompts, report, tracking, waste
-from spendlens.sources.fixtures import AS_OF
+from checks.fixtures import AS_OF
 from tests.util import CALL, METERING, SQL_CALL, cr, rows, ts
 
 

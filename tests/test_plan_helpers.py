@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from spendlens.operators import controls
 from spendlens.plans.running import rolling_totals, running_totals
 from spendlens.plans.skew import hot_keys, lookup
-from spendlens.plans.small import if_small
 
 START = datetime(2024, 1, 1)
 
@@ -58,8 +57,7 @@ def test_rolling_totals(calls, block):
     assert got.columns == [*df.columns, "rolling_credits"]
 
 
-@pytest.mark.parametrize(("n", "salts"), [(1, 4), (3, 256), (1000, 2)])
-def test_lookup(spark, n, salts):
+def test_lookup(spark):
     keys = ["hot"] * 300 + [f"k{i % 40}" for i in range(200)] + [None] * 20 + ["absent"] * 5
     rows = spark.createDataFrame(list(enumerate(keys)), "id bigint, key string")
     values = (
@@ -68,10 +66,10 @@ def test_lookup(spark, n, salts):
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("value", F.concat(F.lit("v-"), "key"))
     )
-    hot = hot_keys(values, "key", "n", n, at_least=2)
-    assert hot_keys(values, "key", "n", n).count() == 0
-    assert "hot" in {r.key for r in hot.collect()} and hot.count() == min(n, 41)
-    got = lookup(rows, values, "key", hot, "id", salts)
+    hot = hot_keys(values, "key", "n")
+    # Of the 520 counted rows "hot" has 300 of 8 even shares of 65.
+    assert [(r.key, r.parts) for r in hot.collect()] == [("hot", 5)]
+    got = lookup(rows, values, "key", hot, "id")
     answers = {r.id: (r.n, r.value) for r in got.collect()}
     assert len(answers) == len(keys) and got.count() == len(keys)
     for i, key in enumerate(keys):
@@ -81,11 +79,21 @@ def test_lookup(spark, n, salts):
             assert answers[i] == (keys.count(key), f"v-{key}")
 
 
-def test_if_small_hints_only_short_tables(spark):
-    table = spark.range(10)
-    hinted = if_small(table, max_rows=10)._jdf.queryExecution().logical().toString()
-    plain = if_small(table, max_rows=9)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in hinted and "broadcast" not in plain
+def test_hot_keys_are_fewer_than_partitions(spark):
+    groups = spark.range(100).selectExpr("id AS key", "CAST(if(id < 20, 1000, 1) AS bigint) AS n")
+    assert hot_keys(groups, "key", "n").count() == 0  # 20 equal keys: none has an eighth
+    groups = spark.range(100).selectExpr("id AS key", "CAST(if(id < 7, 1000, 1) AS bigint) AS n")
+    assert {r.key: r.parts for r in hot_keys(groups, "key", "n").collect()} == dict.fromkeys(range(7), 2)
+
+
+def test_rolling_totals_keep_rows_without_a_time(spark):
+    rows = [(1, "2024-01-01 00:00:00", 1), (1, None, 5), (None, "2024-01-01 00:00:00", 2), (None, None, 7),
+            (1, "2024-01-01 00:00:00", 1), (1, "2024-01-02 00:00:00", 3), (1, "2024-01-02 00:00:01", 4)]
+    df = spark.createDataFrame(rows, "user_id bigint, at string, c int").selectExpr(
+        "user_id", "CAST(at AS timestamp_ntz) AS at", "CAST(c AS decimal(18,9)) AS c")
+    got = rolling_totals(df, ["user_id"], "at", "c")
+    assert sorted(((r.user_id or 0), int(r.c), r.rolling_c and int(r.rolling_c)) for r in got.collect()) == [
+        (0, 2, 2), (0, 7, None), (1, 1, 2), (1, 1, 2), (1, 3, 5), (1, 4, 7), (1, 5, None)]
 
 
 @pytest.mark.parametrize("refunds", [False, True])

@@ -5,11 +5,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from checks import catalog
 from checks.registry import QUERIES
 from spendlens.operators import attribution, controls, tracking, waste
 from spendlens.plans.running import running_totals
 from spendlens.sources import logs
-from spendlens.sources.fixtures import AS_OF
+from checks.fixtures import AS_OF
 from tests.conftest import SMALL
 
 BATCH = sorted(name for name in QUERIES if not name.startswith("stream_"))
@@ -32,6 +33,42 @@ def test_no_risky_operators(spark, name):
         assert "Python" not in plan and "InPandas" not in plan
 
 
+# These write before they read: a ledger or a stored rollup.
+WRITING = {"ledger_round", *(n for n in QUERIES if n.endswith("_stored_rollup"))}
+
+
+def test_building_queries_runs_no_job(spark, monkeypatch):
+    frames, load = {}, catalog.table
+
+    def kept(spark, sf_dir, name):
+        if name not in frames:
+            frames[name] = load(spark, sf_dir, name)
+        return frames[name]
+
+    monkeypatch.setattr(catalog, "table", kept)
+    names = [n for n in BATCH if n not in WRITING]
+    for name in names:
+        QUERIES[name](spark, SMALL)  # the first time reads the footers of the files
+    for name in names:
+        spark.sparkContext.setJobGroup(f"build {name}", name)
+        QUERIES[name](spark, SMALL)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(f"build {name}"), name
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("name", ["rolling_cap", "budget_burn_by_team", "dedupe_inputs_mapping", "enrich_new_rows"])
+def test_no_broadcast_is_forced_but_the_bounded_one(spark, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = QUERIES[name](spark, SMALL)
+        df.collect()
+        plan = plan_of(df).split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    hot = name in ("dedupe_inputs_mapping", "enrich_new_rows")
+    assert ("BroadcastHashJoin" in plan) <= hot
+
+
 def test_daily_window_sits_on_an_aggregate(tables):
     plan = plan_of(QUERIES["week_over_week"](tables.spark, SMALL))
     assert plan.index("SinglePartition") < plan.index("HashAggregate") < plan.index("FileScan")
@@ -59,6 +96,29 @@ def test_window_prunes_partitions_and_columns(stored):
     assert "query_id" not in schema and "role_names" not in schema
 
 
+def reports_on_windows(stored, tables):
+    from spendlens.functions.tags import tag_value
+
+    limits = tables.spark.createDataFrame([("t0", 30)], "scope string, credits bigint")
+    return {
+        "model_allowlist": controls.model_allowlist(stored, "mistral-7b", AS_OF, 7),
+        "role_grant_check": controls.role_grant_check(stored, ["ANALYST_ROLE"], AS_OF, 7),
+        "project_cost": tracking.project_cost(stored, None, as_of=AS_OF, days=7),
+        "project_to_rows": tracking.project_to_rows(stored, as_of=AS_OF, days=7),
+        "budget_burn": controls.budget_burn(
+            stored, limits, tag_value(F.col("function_name"), "team"), AS_OF, "start_time", "credits"),
+        "spend_by_user": attribution.spend_by_user(stored, tables.users, AS_OF),
+    }
+
+
+def test_every_window_prunes_partitions(stored, tables):
+    for name, df in reports_on_windows(stored, tables).items():
+        plan = plan_of(df)
+        scans = [f for f in re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)]
+        logs_read = [f for f in scans if "event_date" in f]
+        assert logs_read and all("2024-01" in f for f in logs_read), name
+
+
 def test_partial_aggregation_comes_before_the_shuffle(stored):
     plan = plan_of(attribution.spend_by_role(stored, AS_OF))
     assert plan.index("Exchange hashpartitioning") < plan.index("partial_sum") < plan.index("Generate explode")

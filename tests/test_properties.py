@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from spendlens.operators import anomaly, attribution, report, tracking, waste
 from spendlens.plans.rollup import hourly_rollup
-from spendlens.sources.fixtures import AS_OF
+from checks.fixtures import AS_OF
 from tests.util import rows
 
 

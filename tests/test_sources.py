@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from spendlens.operators import prompts, tracking
 from spendlens.plans.rollup import hourly_rollup
 from spendlens.sources import logs
-from spendlens.sources.fixtures import AS_OF
+from checks.fixtures import AS_OF
 from tests.util import rows
 
 
