@@ -29,8 +29,8 @@ from spendlens.llm.common import mixed, replacing
 
 #: Bounds of the training sample: documents of either class, and characters of one.
 #: Scores, in contrast, always read whole texts.
-SAMPLE_DOCS = 1500
-SAMPLE_CHARS = 8000
+SAMPLE_DOCS = 1200
+SAMPLE_CHARS = 6000
 
 #: Hash buckets of n-grams, length of their vectors, n-gram lengths, words in a bag.
 BUCKETS = 1 << 18
@@ -49,7 +49,7 @@ RATE = 1.0
 THRESHOLD = 0.7
 
 #: Characters of text turned into n-grams at a time.
-_PART = 1 << 18
+_PART = 1 << 16
 
 # ASCII characters that are no letter and no digit part words, as blanks do.
 _PARTING = {c: " " for c in range(128) if not chr(c).isalnum()}
@@ -115,16 +115,16 @@ def in_parts(texts: Iterable[str]) -> Iterator[list[str]]:
 
 
 def sorted_bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``bags`` of all texts with the n-grams of a bag next to each other."""
-    buckets, in_bag, of_text, n_bags, n_texts = [], [], [], 0, 0
+    """All n-grams' buckets bag by bag, where each bag starts, and the text of each bag."""
+    buckets, sizes, of_text, n_texts = [], [], [], 0
     for part in in_parts(texts):
         bucket, bag, text = bags(part)
-        order = np.argsort(bag, kind="stable")
-        buckets.append(bucket[order])
-        in_bag.append(bag[order] + np.int32(n_bags))
+        buckets.append(bucket[np.argsort(bag, kind="stable")])
+        sizes.append(np.bincount(bag, minlength=len(text)))
         of_text.append(text + n_texts)
-        n_bags, n_texts = n_bags + len(text), n_texts + len(part)
-    return np.concatenate(buckets), np.concatenate(in_bag), np.concatenate(of_text)
+        n_texts += len(part)
+    start = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+    return np.concatenate(buckets), start, np.concatenate(of_text)
 
 
 @dataclass
@@ -152,13 +152,12 @@ def _means(values: np.ndarray, bag: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(bag, weights=values, minlength=n) / count
 
 
-def train(texts: list[str], labels: list[int], rounds: int = 4, seed: int = 7) -> Model:
+def train(texts: list[str], labels: list[int], rounds: int = 6, seed: int = 7) -> Model:
     """Fit vectors and layer. With one class only, or no texts, the model is a constant."""
     y = np.asarray(labels, np.int64)
     if len(set(labels)) < 2:
         return Model(None, 6.0 if len(labels) and y[0] == 1 else -6.0)
-    bucket, bag, text = sorted_bags(texts)
-    start = np.searchsorted(bag, np.arange(len(text) + 1))
+    bucket, start, text = sorted_bags(texts)
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     layer = rng.uniform(-0.5, 0.5, (2, DIM)).astype(np.float32)
@@ -203,12 +202,20 @@ def train(texts: list[str], labels: list[int], rounds: int = 4, seed: int = 7) -
     def present() -> Model:
         return Model(vectors @ (layer[1] - layer[0]), float(bias[1] - bias[0]))
 
+    def bag_logits(model: Model) -> np.ndarray:
+        found = []
+        for a in range(0, len(text), 1 << 14):
+            ends = start[a : a + (1 << 14) + 1]
+            values = model.parts[bucket[ends[0] : ends[-1]]]
+            bag = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+            found.append(model.bias + _means(values, bag, len(ends) - 1))
+        return np.concatenate(found)
+
     every, toxic = np.arange(len(text)), y[text] == 1
     fit(every, y[text])
     clean = every[~toxic]
     for _ in range(rounds):
-        model = present()
-        logit = model.bias + _means(model.parts[bucket], bag, len(text))
+        logit = bag_logits(present())
         worst = np.full(len(texts), -np.inf)
         np.maximum.at(worst, text[toxic], logit[toxic])
         # Of a toxic document the worst bag counts, and others the model is as sure about.

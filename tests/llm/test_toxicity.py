@@ -26,7 +26,7 @@ def model():
 
 def test_unseen_spellings_and_long_texts(model):
     rng = random.Random(2)
-    for bad in (["stupidoo"], ["WORTHLESSON!"], ["xmoronic"], ["idiotess"]):
+    for bad in (["stupidoo"], ["WORTHLESSON!"], ["moronicc", "xidiotes"], ["idiotess", "stupidus"]):
         assert model.score([talk(rng, bad)])[0] >= 0.7
     clean = talk(rng, [])
     assert model.score([clean])[0] < 0.7
