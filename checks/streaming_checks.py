@@ -8,11 +8,30 @@ from checks.fixtures import VIEWS, source
 from spendlens.streaming import sinks, spend
 
 
-def _stream(t, view):
-    """A derived usage table as a stream over its source file."""
+BATCHES = 4
+_feeds: dict[tuple[str, str, str], str] = {}
+
+
+def _feed(t, base, time_col):
+    """The source table as files in order of time, the way a log arrives; once per session."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, base)
+    if key not in _feeds:
+        rows, folder = source(t.spark, t.sf_dir, base), run_folder(t.spark, f"feed-{base}")
+        shares = [i / BATCHES for i in range(1, BATCHES)]
+        micros = F.unix_micros(F.col(time_col).cast("timestamp"))
+        cuts = rows.select(micros.alias("at")).approxQuantile("at", shares, 0.01)
+        for low, high in zip([None, *cuts], [*cuts, None]):
+            part = rows.where((F.lit(low is None) | (micros > (low or 0))) & (F.lit(high is None) | (micros <= (high or 0))))
+            part.coalesce(1).write.mode("append").parquet(folder)
+        _feeds[key] = folder
+    return _feeds[key]
+
+
+def _stream(t, view, time_col):
+    """A derived usage table as a stream of several batches over its source table."""
     base, sql = VIEWS[view]
     schema = source(t.spark, t.sf_dir, base).schema
-    stream = spend.read_calls(t.spark, t.sf_dir, schema, f"{base}.parquet")
+    stream = spend.read_calls(t.spark, _feed(t, base, time_col), schema, files_per_batch=1)
     return t.spark.sql(sql.replace(f"FROM {base}", "FROM {base}"), base=stream)
 
 
@@ -28,7 +47,7 @@ SELECT date_trunc('hour', start_time) AS hour_bucket, function_name, count(*) AS
 FROM ai_function_usage GROUP BY 1, 2""",
 )
 def _(t):
-    hourly = spend.stream_hourly_spend(_stream(t, "ai_function_usage"))
+    hourly = spend.stream_hourly_spend(_stream(t, "ai_function_usage", "ts"))
     drained = sinks.drain_updates(hourly, ["hour_bucket", "function_name"], run_folder(t.spark, "hourly-spend"))
     return _ntz(drained, "hour_bucket")
 
@@ -45,7 +64,7 @@ FROM (SELECT CAST(date_trunc('month', usage_time) AS TIMESTAMP) AS month, sum({n
 )
 def _(t):
     limits = limits_table(t, ACCOUNT_LIMIT)
-    burn = spend.stream_budget_burn(_stream(t, "ai_sql_usage"), limits, F.lit("account"))
+    burn = spend.stream_budget_burn(_stream(t, "ai_sql_usage", "l_shipdate"), limits, F.lit("account"))
     drained = sinks.drain_updates(burn, ["scope", "month"], run_folder(t.spark, "budget-burn"))
     return _ntz(drained, "month")
 
@@ -65,7 +84,7 @@ FROM (SELECT *, unnest(generate_series(date_trunc('hour', event_timestamp) - INT
 WHERE window_start + INTERVAL 24 HOUR <= {RELEASED} GROUP BY 1, 2""",
 )
 def _(t):
-    sliding = spend.stream_sliding_spend(_stream(t, "assistant_cli_usage"))
+    sliding = spend.stream_sliding_spend(_stream(t, "assistant_cli_usage", "ts"))
     return _ntz(sinks.drain_rows(sliding, run_folder(t.spark, "sliding-spend")), "window_start", "window_end")
 
 
@@ -82,6 +101,6 @@ FROM assistant_cli_usage WHERE date_trunc('minute', event_timestamp) + INTERVAL
 )
 def _(t):
     with spend.rocksdb_state(t.spark):
-        rolling = spend.stream_rolling_cap(_stream(t, "assistant_cli_usage"), 0.006)
+        rolling = spend.stream_rolling_cap(_stream(t, "assistant_cli_usage", "ts"), 0.006)
         drained = sinks.drain_rows(rolling, run_folder(t.spark, "rolling-cap"))
     return _ntz(drained, "minute")

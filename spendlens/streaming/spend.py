@@ -38,9 +38,14 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def read_calls(spark: SparkSession, folder: str, schema, files: str = "*") -> DataFrame:
+def read_calls(
+    spark: SparkSession, folder: str, schema, files: str = "*", files_per_batch: int | None = None
+) -> DataFrame:
     """Stream of new parquet files in a folder whose names match ``files``."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(folder)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", files)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
 
 
 def timed(calls: DataFrame, time_col: str, delay: str = LOG_DELAY) -> DataFrame:

@@ -65,7 +65,8 @@ def hourly(stream):
 
 def run_hourly(feed, tmp_path):
     query = sinks.write_updates(
-        hourly(feed.stream()), str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True
+        hourly(feed.stream()), str(tmp_path / "out"), str(tmp_path / "cp"),
+        ["hour_bucket", "function_name"], available_now=True, compact_every=2,
     )
     query.awaitTermination()
     schema = hourly(feed.stream()).schema
@@ -118,8 +119,9 @@ def test_budget_burn_over_batches(spark, feed, tmp_path):
     for part in chunks(make_calls(seed=6), 3):
         feed.add(part)
         sinks.write_updates(
-            burn(), str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True
+            burn(), str(tmp_path / "out"), str(tmp_path / "cp"), ["scope", "month"], True, 2
         ).awaitTermination()
+    assert (tmp_path / "out" / "state" / "batch_id=1").exists()
     state = sinks.read_updates(
         spark, str(tmp_path / "out"), ["scope", "month"], burn().schema
     )
