@@ -278,6 +278,7 @@ def _(t):
     return waste.standing_cost(sizes)
 
 
+# Cheaper functions and their savings in percent.
 ALTERNATIVES = """alternatives AS (SELECT * FROM (VALUES
   ('sentiment', 'AI_COMPLETE', 'AI_SENTIMENT', 40, 70), ('classification', 'AI_COMPLETE', 'AI_CLASSIFY', 50, 75),
   ('extraction', 'AI_COMPLETE', 'AI_EXTRACT', 30, 60), ('filtering', 'AI_COMPLETE', 'AI_FILTER', 50, 70),
@@ -298,3 +299,25 @@ WHERE {last('c.start_time', 30)} GROUP BY 1, 2, 3, 4""",
 )
 def _(t):
     return waste.rightsizing_savings(t.ai_function_usage, AS_OF)
+
+
+# Model switches and their savings in percent.
+SWITCHES = """switches(task, model, cheaper, low, high) AS (VALUES
+  ('summarization', 'claude-4-sonnet', 'mistral-7b', 30, 60), ('summarization', 'llama3.1-405b', 'mistral-7b', 30, 60),
+  ('summarization', 'mistral-large', 'mistral-7b', 30, 60), ('right-sizing', 'claude-4-sonnet', 'mistral-7b', 90, 98))"""
+
+
+@query(
+    "model_switch_savings",
+    f"""
+SELECT s.task, c.function_name, c.model_name, s.cheaper AS cheaper_model, {credits('credits')} AS credits,
+  {half_up('max(s.low) * ' + nano('credits'), '100000000000', 4)} AS low_saving,
+  {half_up('max(s.high) * ' + nano('credits'), '100000000000', 4)} AS high_saving,
+  {half_up('3 * max(s.low) * ' + nano('credits'), '100000000000', 2)} AS low_dollars,
+  {half_up('3 * max(s.high) * ' + nano('credits'), '100000000000', 2)} AS high_dollars
+FROM ai_function_usage c JOIN switches s ON c.model_name = s.model
+WHERE c.function_name IN ('AI_COMPLETE', 'COMPLETE') AND {last('c.start_time', 30)} GROUP BY 1, 2, 3, 4""",
+    SWITCHES,
+)
+def _(t):
+    return waste.model_switch_savings(t.ai_function_usage, AS_OF)

@@ -28,6 +28,15 @@ from spendlens.plans.rollup import FUNCTION_LOG, SQL_LOG, Usage
 # Credits per GB and month while a search service serves.
 SERVING_RATE = 6.3
 
+# Task, model in use, cheaper model, saving in percent (10 to 50 times
+# cheaper is 90 to 98 percent).
+MODEL_SWITCHES = (
+    ("summarization", "claude-4-sonnet", "mistral-7b", 30, 60),
+    ("summarization", "llama3.1-405b", "mistral-7b", 30, 60),
+    ("summarization", "mistral-large", "mistral-7b", 30, 60),
+    ("right-sizing", "claude-4-sonnet", "mistral-7b", 90, 98),
+)
+
 # Task, function in use, cheaper function, saving in percent.
 ALTERNATIVES = (
     ("sentiment", "AI_COMPLETE", "AI_SENTIMENT", 40, 70),
@@ -375,47 +384,97 @@ def standing_cost(sizes, rate=SERVING_RATE, price=PRICE_PER_CREDIT) -> DataFrame
     ).orderBy(F.desc_nulls_first("monthly_credits"), "service_name")
 
 
-def rightsizing_savings(
-    calls, as_of, days=30, alternatives=ALTERNATIVES, price=PRICE_PER_CREDIT
-) -> DataFrame:
-    """What moving each function's spend to a cheaper one would save.
-
-    The log does not say what task a completion call solved, so every line
-    assumes that all of the function's spend belongs to its task: read it as
-    the saving per task share, not as a sum over tasks.
-    """
-    options = {}
-    for task, generic, specific, low, high in alternatives:
-        options.setdefault(generic, []).append(
+def _options(alternatives) -> dict[str, Column]:
+    """Per function or model in use, the cheaper choices as an array of structs."""
+    options: dict[str, list[Column]] = {}
+    for task, current, cheaper, low, high in alternatives:
+        options.setdefault(current, []).append(
             F.struct(
                 F.lit(task).alias("task"),
-                F.lit(specific).alias("specific"),
+                F.lit(cheaper).alias("cheaper"),
                 dec(low).cast("decimal(5,2)").alias("low"),
                 dec(high).cast("decimal(5,2)").alias("high"),
             )
         )
+    return {current: F.array(*structs) for current, structs in options.items()}
+
+
+def _savings(log: Usage, by: str, alternatives) -> DataFrame:
+    """Spend per function and model with each cheaper choice and its saving."""
+    options = _options(alternatives)
     choice = F.lit(None)
-    for generic, structs in options.items():
-        choice = F.when(F.col("function_name") == generic, F.array(*structs)).otherwise(choice)
-    log = Usage.of(calls, FUNCTION_LOG).window(as_of, days=days)
-    spent = F.col("c")
-    low = spent * F.col("o.low") * dec("0.01")
-    high = spent * F.col("o.high") * dec("0.01")
+    for current, structs in options.items():
+        choice = F.when(F.col(by) == current, structs).otherwise(choice)
     return (
-        log.df.where(F.col("function_name").isin(*options))
+        log.df.where(F.col(by).isin(*options))
         .groupBy("function_name", "model_name")
         .agg(log.credits().alias("c"))
         .select("function_name", "model_name", "c", F.explode(choice).alias("o"))
         .select(
             F.col("o.task").alias("task"),
+            "function_name",
+            "model_name",
+            F.col("o.cheaper").alias("cheaper"),
+            "c",
+            (F.col("c") * F.col("o.low") * dec("0.01")).alias("low"),
+            (F.col("c") * F.col("o.high") * dec("0.01")).alias("high"),
+        )
+    )
+
+
+def _saving_columns(price: float) -> list[Column]:
+    low, high = F.col("low"), F.col("high")
+    return [
+        F.col("c").cast("double").alias("credits"),
+        rounded(low, 4).alias("low_saving"),
+        rounded(high, 4).alias("high_saving"),
+        dollars(low, price).alias("low_dollars"),
+        dollars(high, price).alias("high_dollars"),
+    ]
+
+
+def rightsizing_savings(
+    calls, as_of, days=30, alternatives=ALTERNATIVES, price=PRICE_PER_CREDIT
+) -> DataFrame:
+    """What moving each function's spend to a cheaper one would save.
+
+    The log does not say what task a completion call solved, so every line
+    assumes that all of the function's spend belongs to its task: read it as
+    the saving per task share, not as a sum over tasks.
+    """
+    log = Usage.of(calls, FUNCTION_LOG).window(as_of, days=days)
+    return (
+        _savings(log, "function_name", alternatives)
+        .select(
+            "task",
             F.col("function_name").alias("generic"),
             "model_name",
-            F.col("o.specific").alias("specific"),
-            spent.cast("double").alias("credits"),
-            rounded(low, 4).alias("low_saving"),
-            rounded(high, 4).alias("high_saving"),
-            dollars(low, price).alias("low_dollars"),
-            dollars(high, price).alias("high_dollars"),
+            F.col("cheaper").alias("specific"),
+            *_saving_columns(price),
         )
         .orderBy(F.desc_nulls_first("high_saving"), "task", "model_name")
     )
+
+
+def model_switch_savings(
+    calls,
+    as_of,
+    days=30,
+    switches=MODEL_SWITCHES,
+    functions=COMPLETION_FUNCTIONS,
+    price=PRICE_PER_CREDIT,
+) -> DataFrame:
+    """What moving a model's completion spend to a cheaper model would save.
+
+    As above, a line assumes that all of the model's spend belongs to its task.
+    """
+    log = Usage.of(calls, FUNCTION_LOG).window(as_of, days=days)
+    log = log.where(F.col("function_name").isin(*functions))
+    return (
+        _savings(log, "model_name", switches)
+        .select(
+            "task", "function_name", "model_name",
+            F.col("cheaper").alias("cheaper_model"), *_saving_columns(price),
+        )
+        .orderBy(F.desc_nulls_first("high_saving"), "task", "model_name", "function_name")
+    )
