@@ -77,7 +77,7 @@ class Usage:
         df = recent(self.df, self.time_col, moment, days=days, hours=hours)
         if self.rolled:
             if any((t.minute, t.second, t.microsecond) != (0, 0, 0) for t in (start, moment)):
-                raise ValueError("a rollup answers only for windows of whole hours")
+                raise ValueError("a rollup answers only for windows that begin and end on the hour")
             # The hour that starts at as_of lies after it.
             df = df.where(F.col("hour") < F.lit(str(moment)).cast(df.schema["hour"].dataType))
         return replace(self, df=df)

@@ -122,3 +122,5 @@ def test_rollup_needs_a_whole_hour(tables):
     rollup = hourly_rollup(tables.ai_function_usage, "start_time", "credits")
     with pytest.raises(ValueError, match="on the hour"):
         tracking.spend_by_function(rollup, "2024-01-31 00:30:00")
+    with pytest.raises(ValueError, match="on the hour"):
+        tracking.model_cost_comparison(rollup, AS_OF, hours=1.5)
