@@ -169,14 +169,13 @@ def _decode_udf(model: bytes):
         pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         table = [to_bytes(pieces.id_to_piece(i)) for i in range(pieces.unk_id())]
         for batch in batches:
-            yield pa.array(
-                [
-                    None if ids.as_py() is None
-                    else b"".join(map(table.__getitem__, ids.values.to_pylist()))
-                    for ids in batch
-                ],
-                pa.binary(),
-            )
+            ids = batch.values.to_numpy()
+            ends = batch.offsets.to_numpy().tolist()
+            found = [
+                b"".join(map(table.__getitem__, ids[a:b].tolist()))
+                for a, b in zip(ends, ends[1:])
+            ]
+            yield pa.array(found, pa.binary(), mask=batch.is_null().to_numpy(zero_copy_only=False))
 
     return compute.asNondeterministic()
 
