@@ -31,8 +31,8 @@ from spendlens.llm.common import replacing
 CHUNK = 1 << 15
 OVERLAP = 1 << 9
 
-#: Characters of short texts encoded in one call.
-_PART = 1 << 18
+#: Words a worker remembers (about 80 MB); then it starts again.
+REMEMBERED = 1 << 19
 
 # ASCII white space.
 _BLANKS = frozenset(" \t\n\v\f\r")
@@ -78,6 +78,32 @@ class ChunkedEncoder:
         return sum(map(len, self.pieces(text)))
 
 
+class WordCounts:
+    """Counts the tokens of texts that need no chunks.
+
+    ASCII white space is a stable boundary everywhere, so a text has the tokens of
+    its words. Each word is encoded once and its count remembered.
+    """
+
+    def __init__(self, tokenizer: Tokenizer) -> None:
+        self.tokenizer = tokenizer
+        self.known: dict[bytes, int] = {}
+
+    def count(self, text: bytes) -> int:
+        words = text.split()  # of bytes: at ASCII white space alone
+        new = set(words).difference(self.known)
+        if new:
+            if len(self.known) + len(new) > REMEMBERED:
+                self.known = {}
+                new = set(words)
+            ordered = list(new)
+            found = self.tokenizer.encode_batch_fast(
+                [w.decode("utf-8", "replace") for w in ordered], add_special_tokens=False
+            )
+            self.known.update(zip(ordered, map(len, found)))
+        return sum(map(self.known.__getitem__, words))
+
+
 def splice(text, ids, starts, next_ids, next_starts, begin: int, end: int) -> int | None:
     """The last stable common boundary of two encodings between two places, or None."""
     common = np.intersect1d(starts, next_starts)
@@ -100,29 +126,11 @@ def _count_udf(model: str, chunk: int, overlap: int):
         tokenizer.no_truncation()
         tokenizer.no_padding()
         long = ChunkedEncoder(tokenizer, chunk, overlap)
+        short = WordCounts(tokenizer)
         for batch in batches:
-            counts = np.zeros(len(batch), np.int64)
-            held, rows, size = [], [], 0
-
-            def flush():
-                for row, found in zip(
-                    rows, tokenizer.encode_batch_fast(held, add_special_tokens=False)
-                ):
-                    counts[row] = len(found)
-
-            for row, value in enumerate(batch):
-                text = value.as_py() or ""
-                if len(text) > chunk:
-                    counts[row] = long.count(text)
-                    continue
-                held.append(text)
-                rows.append(row)
-                size += len(text)
-                if size >= _PART:
-                    flush()
-                    held, rows, size = [], [], 0
-            flush()
-            yield pa.array(counts)
+            texts = (value.as_py() or "" for value in batch)
+            counts = [long.count(t) if len(t) > chunk else short.count(t.encode()) for t in texts]
+            yield pa.array(counts, pa.int64())
 
     return compute.asNondeterministic()
 

@@ -37,6 +37,15 @@ def test_overlaps_are_widened(library, monkeypatch):
     assert None in tried and any(p is not None for p in tried)
 
 
+def test_remembered_words_give_the_tokens_of_the_whole(library, monkeypatch):
+    monkeypatch.setattr(token_counts, "REMEMBERED", 50)
+    rng = random.Random(6)
+    counts = token_counts.WordCounts(library)
+    for _ in range(600):
+        text = "".join(rng.choice(PARTS) for _ in range(rng.randrange(60)))
+        assert counts.count(text.encode()) == len(library.encode(text, add_special_tokens=False).ids), repr(text)
+
+
 def test_query_matches_the_library(spark, library):
     table = {r.doc_id: r.text for r in checks.table(spark, SMALL, "documents").collect()}
     for r in checks.QUERIES["op8_token_counts"](spark, SMALL).collect():
