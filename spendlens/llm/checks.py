@@ -198,7 +198,7 @@ FROM formatted f JOIN partners p ON f.conv_id = p.conv_id
 
 @query("op5_preference_format", PREFERENCE_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = preferences.paired_by_opening(table(spark, sf_dir, "conversations"))
+    pairs = preferences.paired_by_opening(table(spark, sf_dir, "conversations"), past_copies=True)
 
     def loss_chars(spans: str):
         zero = F.lit(0).cast("bigint")

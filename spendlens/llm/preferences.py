@@ -140,28 +140,51 @@ def stale_reply(turns: Column) -> Column:
     )
 
 
-def paired_by_opening(turns: DataFrame) -> DataFrame:
+def paired_by_opening(turns: DataFrame, past_copies: bool = False) -> DataFrame:
     """One pair per conversation: itself as chosen, and a conversation with the same first turn.
 
     The partner is the conversation of the smallest id with that opening, or for that
     one itself the largest; ``partner_id`` is null where no other has the opening,
-    and the rejected side is then the conversation with a stale last reply. Partners
-    come from a minimum and a maximum per opening, so a common opening is no burden
+    and the rejected side is then the conversation with a stale last reply.
+
+    With ``past_copies``, conversations of the same turns are one: no partner is a copy
+    of its conversation. The copies of the smallest id take the largest id, or where
+    that is one of them the largest of the first ids of the distinct conversations;
+    and where an opening has nothing but copies, each is paired with its stale reply.
+
+    Partners come from minima and maxima per opening, so a common opening is no burden
     to one task, and no pair is made beside these.
     """
+    whole = F.sha2(F.array_join(F.transform("turns", rendered), ""), 256) if past_copies else F.col("conv_id")
     # Written out once: three uses read it, and joins of plain scans are split where
     # one opening or partner has very many rows.
     talks = stored(
-        conversations(turns).withColumn("opening", F.sha2(rendered(F.col("turns")[0]), 256)),
+        conversations(turns)
+        .withColumn("opening", F.sha2(rendered(F.col("turns")[0]), 256))
+        .withColumn("whole", whole),
         "conversations",
     )
+    distinct = talks.groupBy("opening", "whole").agg(
+        F.min("conv_id").alias("first"), F.max("conv_id").alias("last")
+    )
     shared = stored(
-        talks.groupBy("opening")
-        .agg(F.min("conv_id").alias("first"), F.max("conv_id").alias("last"))
-        .where("first <> last"),
+        distinct.groupBy("opening")
+        .agg(
+            F.min(F.struct("first", "whole")).alias("low"),
+            F.max(F.struct("last", "whole")).alias("high"),
+            F.max("first").alias("other"),
+        )
+        .where(F.col("low.first") != F.col("other"))
+        .select(
+            "opening",
+            F.col("low.whole").alias("head"),
+            F.col("low.first").alias("first"),
+            F.when(F.col("high.whole") != F.col("low.whole"), F.col("high.last"))
+            .otherwise(F.col("other")).alias("last"),
+        ),
         "openings",
     )
-    partner = F.when(F.col("conv_id") != F.col("first"), F.col("first")).otherwise(F.col("last"))
+    partner = F.when(F.col("whole") != F.col("head"), F.col("first")).otherwise(F.col("last"))
     named = talks.join(shared, "opening").select("conv_id", "turns", partner.alias("partner_id"))
     others = talks.select(F.col("conv_id").alias("partner_id"), F.col("turns").alias("rejected"))
     found = named.join(others, "partner_id").select(

@@ -92,6 +92,18 @@ def test_preference_pairs(spark):
     assert preferences.format_pairs(preferences.paired_by_opening(turns.where("false"))).count() == 0
 
 
+def test_no_partner_is_a_copy(spark, tmp_path):
+    u, a = "user", "assistant"
+    talks = {1: ("hi", "yes"), 2: ("hi", "no"), 3: ("hi", "yes"), 4: ("hi", "maybe"), 5: ("hi", "yes"),
+             6: ("same", "one"), 7: ("same", "one"), 8: ("go", "left"), 9: ("go", "right"), 10: ("go", "right"), 11: ("lone", "x")}
+    rows = [(i, n, role, text) for i, pair in talks.items() for n, (role, text) in enumerate(zip((u, a), pair))]
+    spark.createDataFrame(rows, TURNS).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: r for r in checks.QUERIES["op5_preference_format"](spark, str(tmp_path)).collect()}
+    assert {k: r.partner_id for k, r in got.items()} == {
+        1: 4, 2: 1, 3: 4, 4: 1, 5: 4, 6: None, 7: None, 8: 10, 9: 8, 10: 8, 11: None}
+    assert all(r.usable for r in got.values())
+
+
 def test_pairs_given_by_the_caller(spark):
     pairs = spark.createDataFrame(
         [(1, [("user", "q"), ("assistant", "a")], None), (1, None, None)],
