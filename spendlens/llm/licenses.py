@@ -13,8 +13,13 @@ value falls on any element of a set alike, and constants that differ in their
 leading bits start from different places.
 
 A window can collide only where it holds a shingle that is the smallest of some
-template in some band. Those few shingles are known beforehand; windows without one
-are never built. That changes no result, since such windows collide with nothing.
+template of its class in some band. Those few shingles are known beforehand; windows
+without one are never built. That changes no result, since such windows collide with
+nothing.
+
+A template of fewer than five words is one shingle of its own length. It needs no
+bands: each place with its hash gives a window and is verified like the others. Its
+size class is written as its number of words below zero.
 """
 
 from __future__ import annotations
@@ -69,20 +74,30 @@ def _words(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def _shingles(words: Column, as_hash: bool) -> Column:
+def _shingles(words: Column, as_hash: bool, length: int = SHINGLE) -> Column:
     """Shingle hashes of ``words``, which must be a column or variable; texts of fewer words have none."""
     starts = F.when(
-        F.size(words) >= SHINGLE, F.sequence(F.lit(0), F.size(words) - SHINGLE)
+        F.size(words) >= length, F.sequence(F.lit(0), F.size(words) - length)
     ).otherwise(F.array().cast("array<int>"))
 
     def parts(start: Column) -> list[Column]:
-        return [words[start + k] for k in range(SHINGLE)]
+        return [words[start + k] for k in range(length)]
 
     if as_hash:
         return F.transform(starts, lambda i: F.xxhash64(*parts(i)))
     return F.transform(starts, lambda i: F.concat_ws(" ", *parts(i)))
 
 
+def _shingles_of(words: Column, as_hash: bool, length: Column) -> Column:
+    """The same with a length that differs by row: a hash of an array is that of its elements."""
+    starts = F.when(
+        F.size(words) >= length, F.sequence(F.lit(0), F.size(words) - length)
+    ).otherwise(F.array().cast("array<int>"))
+    if as_hash:
+        return F.transform(starts, lambda i: F.xxhash64(F.slice(words, i + 1, length)))
+    return F.transform(starts, lambda i: F.array_join(F.slice(words, i + 1, length), " "))
+
+
 def _least(hashes: Column, constant: int) -> Column:
     least = F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(constant))))
     return least.bitwiseXOR(F.lit(constant))
@@ -110,20 +125,22 @@ def _windows(places: Column, size_class: int) -> Column:
 
 
 def _template_table(templates: DataFrame, bands: int, license_col: str, text_col: str) -> DataFrame:
-    """Per template: class, shingles and band minima. Texts of fewer than five words are left out."""
+    """Per template: class, shingles and band minima; of one of fewer than five words its one hash."""
     words = templates.select(
         F.col(license_col).cast("string").alias("license"), _words(F.col(text_col)).alias("words")
-    ).where(F.size("words") >= SHINGLE)
-    hashed = words.select(
+    ).where(F.size("words") > 0)
+    hashed = words.withColumn("length", F.least(F.size("words"), F.lit(SHINGLE))).select(
         "license",
-        F.array_distinct(_shingles(F.col("words"), False)).alias("template"),
-        _shingles(F.col("words"), True).alias("hashes"),
+        "length",
+        F.array_distinct(_shingles_of(F.col("words"), False, F.col("length"))).alias("template"),
+        _shingles_of(F.col("words"), True, F.col("length")).alias("hashes"),
     ).distinct()
+    short = F.col("length") < SHINGLE
     size = F.ceil(F.log2(F.size("template").cast("double"))).cast("int")
     return hashed.select(
         "license", "template",
-        F.pow(F.lit(2), size).cast("int").alias("size_class"),
-        _bands(F.col("hashes"), bands).alias("minima"),
+        F.when(short, -F.col("length")).otherwise(F.pow(F.lit(2), size).cast("int")).alias("size_class"),
+        F.when(short, F.col("hashes")).otherwise(_bands(F.col("hashes"), bands)).alias("minima"),
     )
 
 
@@ -142,55 +159,81 @@ def find_licenses(
     Returns ``id_col``, ``license``, ``containment`` (largest share of the template's
     shingles in one window) and ``first_word`` (first word of the first such window),
     one row for each document row and license found; documents without one give no
-    row. Null, empty and short texts have no shingles. Templates with fewer than five
-    words are left out and templates that repeat count once; two texts under one name
-    give the better of both. Repeated document rows are reported each, null ids too.
+    row. Null and empty texts have no shingles. Templates with fewer than five words are
+    found where all their words follow one another, those without words never.
+    Templates that repeat count once; two texts under one name give the better of both. Repeated document rows are reported each, null ids too.
     Extra columns are ignored. Empty tables give no rows.
     """
     bands = band_count(containment, retrieved)
     known = _template_table(templates, bands, license_col, template_text_col)
     rows = known.select("size_class", "minima").collect()
-    minima = sorted({m for r in rows for m in r["minima"]})
-    classes = sorted({r["size_class"] for r in rows})
-    if len(minima) > MOST_MINIMA:
+    minima: dict[int, set[int]] = {}
+    for r in rows:
+        minima.setdefault(r["size_class"], set()).update(r["minima"])
+    every_minimum = sorted(set().union(*minima.values()))
+    classes = sorted(c for c in minima if c > 0)
+    lengths = sorted(-c for c in minima if c < 0)
+    if len(every_minimum) > MOST_MINIMA:
         raise ValueError("too many templates for one scan: give them in parts")
 
-    def marked(h: Column) -> Column:
-        return h.isin(*minima) if minima else F.lit(False)
+    def marked(h: Column, among: list[int]) -> Column:
+        return h.isin(*among) if among else F.lit(False)
+
+    def places(hashes: Column, among: list[int]) -> Column:
+        found = F.transform(hashes, lambda h, i: F.when(marked(h, among), F.struct(i.alias("at"), h.alias("hash"))))
+        return F.filter(found, lambda p: p.isNotNull())
+
+    def of_class(c: int) -> Column:
+        mine = F.filter("places", lambda p: marked(p["hash"], sorted(minima[c])))
+        return F.transform(
+            _windows(F.transform(mine, lambda p: p["at"]), c),
+            lambda w: F.struct(w["size_class"].alias("size_class"), w["start"].alias("start"), F.lit(None).cast("bigint").alias("hash")),
+        )
+
+    def of_length(n: int) -> Column:
+        # Windows of three shingles, as those of any one-shingle template.
+        return F.transform(
+            places(_shingles(F.col("words"), True, n), sorted(minima[-n])),
+            lambda p: F.struct(F.lit(-n).alias("size_class"), F.greatest(F.lit(0), p["at"] - 2).alias("start"), p["hash"].alias("hash")),
+        )
 
     words = docs.select(F.col(id_col), _words(F.col(text_col)).alias("words"))
     hashed = words.withColumn("hashes", _shingles(F.col("words"), True))
+    none = F.array().cast("array<struct<size_class:int,start:int,hash:bigint>>")
     # The row number keeps later filters above this projection: texts are hashed once.
     placed = hashed.select(
         F.monotonically_increasing_id().alias("row"), id_col, "words", "hashes",
-        F.filter(
-            F.transform("hashes", lambda h, i: F.when(marked(h), i)), lambda i: i.isNotNull()
-        ).alias("places"),
+        places(F.col("hashes"), sorted(set().union(*[minima[c] for c in classes]))).alias("places"),
+        F.concat(none, *[of_length(n) for n in lengths]).alias("short"),
     )
-    none = F.array().cast("array<struct<size_class:int,start:int>>")
-    every = F.concat(none, *[_windows(F.col("places"), c) for c in classes])
-    windows = placed.where(F.size("places") > 0).select(
+    every = F.concat("short", *[of_class(c) for c in classes])
+    whole = F.col("window.size_class") > 0
+    n_shingles = F.when(whole, 3 * F.col("window.size_class")).otherwise(3)
+    length = F.when(whole, SHINGLE).otherwise(-F.col("window.size_class"))
+    windows = placed.where((F.size("places") > 0) | (F.size("short") > 0)).select(
         "row", id_col, "words", "hashes", F.explode(every).alias("window")
     ).select(
         "row", id_col, "window.size_class", "window.start",
-        F.slice("words", F.col("window.start") + 1, 3 * F.col("window.size_class") + SHINGLE - 1)
-        .alias("words"),
-        _bands(F.slice("hashes", F.col("window.start") + 1, 3 * F.col("window.size_class")), bands)
+        F.slice("words", F.col("window.start") + 1, n_shingles + length - 1).alias("words"),
+        F.when(whole, _bands(F.slice("hashes", F.col("window.start") + 1, n_shingles), bands))
+        .otherwise(F.array("window.hash"))
         .alias("minima"),
     )
     hit = F.filter(
         F.transform("minima", lambda m, j: F.struct(j.alias("band"), m.alias("least"))),
-        lambda x: marked(x["least"]),
+        lambda x: marked(x["least"], every_minimum),
     )
     bands_of = known.select("license", "template", "size_class", F.posexplode("minima").alias("band", "least"))
     candidates = (
         windows.select("row", id_col, "size_class", "start", "words", F.explode(hit).alias("hit"))
         .select("row", id_col, "size_class", "start", "words", "hit.band", "hit.least")
         .join(bands_of, ["size_class", "band", "least"])
-        .groupBy("row", id_col, "start", "words", "license", "template")
+        .groupBy("row", id_col, "size_class", "start", "words", "license", "template")
         .agg(F.count(F.lit(1)).alias("bands"))
     )
-    held = F.size(F.array_intersect(_shingles(F.col("words"), False), F.col("template")))
+    length = F.when(F.col("size_class") > 0, SHINGLE).otherwise(-F.col("size_class"))
+    shingles = _shingles_of(F.col("words"), False, length) if lengths else _shingles(F.col("words"), False)
+    held = F.size(F.array_intersect(shingles, F.col("template")))
     verified = candidates.withColumn("held", held).where(
         F.col("held") * 100 >= round(containment * 100) * F.size("template")
     )

@@ -64,6 +64,16 @@ def test_licenses_of_every_size(spark, docs):
     assert licenses.find_licenses(rows.where("false"), table).count() == 0
 
 
+def test_licenses_of_few_words(spark, docs):
+    table = spark.createDataFrame(
+        [("R", "All rights reserved."), ("S", "SPDX-License-Identifier: MIT"), ("P", "Proprietary"), ("E", "!"),
+         ("A", "Released under the MIT License."), ("A", "MIT")], "license string, text string")
+    rows = docs((1, "(c) 2020 some one. all RIGHTS\nreserved"), (1, "(c) 2020 some one. all RIGHTS\nreserved"), (2, "// SPDX-License-Identifier: MIT"),
+                (3, "all rights are reserved"), (None, "proprietary"), (4, ""), (5, None), (6, "x released under the MIT license"))
+    got = sorted((r[0] or 0, r.license, r.containment, r.first_word) for r in licenses.find_licenses(rows, table).collect())
+    assert got == [(0, "P", 1.0, 0), (1, "R", 1.0, 2), (1, "R", 1.0, 2), (2, "A", 1.0, 1), (2, "S", 1.0, 0), (6, "A", 1.0, 0)]
+
+
 def test_band_count_keeps_the_promise():
     n = licenses.band_count(0.8, 0.999)
     assert 1 - (1 - 0.4 / 3.1) ** n >= 0.999 > 1 - (1 - 0.4 / 3.1) ** (n - 1)
