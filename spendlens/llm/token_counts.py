@@ -17,7 +17,7 @@ ends up in one piece, as the tokenizer itself would have it.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -118,6 +118,32 @@ def splice(text, ids, starts, next_ids, next_starts, begin: int, end: int) -> in
     return None
 
 
+def words_apart(tokenizer: Tokenizer) -> bool:
+    """Whether texts have just the tokens of their words: blanks add no token and are in none."""
+
+    def ids(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    if any(not _BLANKS.isdisjoint(token) for token in tokenizer.get_vocab(with_added_tokens=True)):
+        return False
+    blanks = sorted(_BLANKS)
+    gaps = blanks + [a + b for a in blanks for b in blanks]
+    words = ["a", "1", ".", "\u00e9"]
+    alone = {word: ids(word) for word in words}
+    return all(not ids(gap) for gap in gaps) and all(
+        ids(f"{gap}{a}{gap}{b}{gap}") == alone[a] + alone[b] for gap in gaps for a in words for b in words
+    )
+
+
+def counter(tokenizer: Tokenizer, chunk: int, overlap: int) -> Callable[[str], int]:
+    """Counts the tokens of one text; texts are encoded whole unless their words stand apart."""
+    if not words_apart(tokenizer):
+        return lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids)
+    long = ChunkedEncoder(tokenizer, chunk, overlap)
+    short = WordCounts(tokenizer)
+    return lambda text: long.count(text) if len(text) > chunk else short.count(text.encode())
+
+
 def _count_udf(model: str, chunk: int, overlap: int):
     @F.arrow_udf("bigint")
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -125,12 +151,9 @@ def _count_udf(model: str, chunk: int, overlap: int):
         tokenizer = Tokenizer.from_str(model)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        long = ChunkedEncoder(tokenizer, chunk, overlap)
-        short = WordCounts(tokenizer)
+        count = counter(tokenizer, chunk, overlap)
         for batch in batches:
-            texts = (value.as_py() or "" for value in batch)
-            counts = [long.count(t) if len(t) > chunk else short.count(t.encode()) for t in texts]
-            yield pa.array(counts, pa.int64())
+            yield pa.array([count(value.as_py() or "") for value in batch], pa.int64())
 
     return compute.asNondeterministic()
 
@@ -145,8 +168,8 @@ def count_tokens(
 ) -> DataFrame:
     """``docs`` with ``n_bytes`` (UTF-8), ``n_tokens`` and ``over_limit`` of each whole text.
 
-    ``model`` is the text of a tokenizer's JSON file, whose words never span white
-    space. Nothing is added, cut or padded; strings of special tokens count as the
+    ``model`` is the text of a tokenizer's JSON file. Where its tokens hold white space,
+    each text is encoded whole, however long. Nothing is added, cut or padded; strings of special tokens count as the
     tokenizer takes them by default. Null and empty texts have no tokens. Rows
     stay as they are, repeated or not; columns with an output's name are replaced.
     """

@@ -46,6 +46,19 @@ def test_remembered_words_give_the_tokens_of_the_whole(library, monkeypatch):
         assert counts.count(text.encode()) == len(library.encode(text, add_special_tokens=False).ids), repr(text)
 
 
+@pytest.mark.parametrize("kind", ["bytes", "metaspace"])
+def test_models_that_keep_blanks(library, kind):
+    from tokenizers import models, pre_tokenizers
+
+    letters = [*pre_tokenizers.ByteLevel.alphabet(), "\u2581"]
+    other = Tokenizer(models.BPE({c: i for i, c in enumerate(sorted(letters))}, []))
+    other.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False) if kind == "bytes" else pre_tokenizers.Metaspace()
+    assert token_counts.words_apart(library) and not token_counts.words_apart(other)
+    count = token_counts.counter(other, 16, 4)
+    for text in ("a b", "a  b c ", "word " * 20, ""):
+        assert count(text) == len(other.encode(text, add_special_tokens=False).ids)
+
+
 def test_query_matches_the_library(spark, library):
     table = {r.doc_id: r.text for r in checks.table(spark, SMALL, "documents").collect()}
     for r in checks.QUERIES["op8_token_counts"](spark, SMALL).collect():
