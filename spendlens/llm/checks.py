@@ -13,7 +13,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlens.llm import bpe, licenses, lines, preferences, quality, simhash, token_counts, toxicity, warc, winnow
+from spendlens.llm import (
+    bpe, licenses, lines, preferences, quality, search, simhash, token_counts, toxicity, warc, winnow,
+)
 from spendlens.llm.common import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -336,3 +338,42 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"),
     )
+
+
+SEARCH_SQL = f"""
+WITH doc_terms AS (
+  SELECT row_no, doc_id, unnest(regexp_extract_all(translate(text, {_ASCII_LOWER}),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS row_no, doc_id, text FROM documents)
+), item_terms AS (
+  SELECT item_id, term, CAST(count(*) AS BIGINT) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, {_ASCII_LOWER}),
+      '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL
+), sizes AS (
+  SELECT row_no, count(*) AS n FROM doc_terms GROUP BY row_no
+), total AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes
+), postings AS (
+  SELECT row_no, doc_id, term, count(*) AS tf FROM doc_terms
+  WHERE term IN (SELECT term FROM item_terms) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM postings, total GROUP BY term
+), impacts AS (
+  SELECT p.row_no, p.doc_id, p.term,
+    w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // terms))) AS part
+  FROM postings p JOIN weights USING (term) JOIN sizes USING (row_no), total
+), scores AS (
+  SELECT item_id, row_no, doc_id, CAST(sum(times * part) AS BIGINT) AS score
+  FROM item_terms JOIN impacts USING (term) GROUP BY ALL HAVING score > 0
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+  doc_id, score
+FROM scores QUALIFY rank <= 20
+"""
+
+
+@query("op12_ranked_search", SEARCH_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
