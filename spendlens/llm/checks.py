@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlens.llm import (
-    bpe, licenses, lines, preferences, quality, search, simhash, token_counts, toxicity, warc, winnow,
+    bpe, licenses, lines, preferences, quality, search, simhash, token_counts, toxicity, trie, warc, winnow,
 )
 from spendlens.llm.common import work_folder
 
@@ -377,3 +377,60 @@ FROM scores QUALIFY rank <= 20
 @query("op12_ranked_search", SEARCH_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# The unsigned crc32 of a decimal id, byte by byte and bit by bit; -1 stands for a shift.
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+  string_split(CAST(conv_id AS VARCHAR), ''),
+  lambda c: list_concat([CAST(ascii(c) AS BIGINT)], [-1::BIGINT, -1, -1, -1, -1, -1, -1, -1])))),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x)
+    WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295)"""
+
+TRIE_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, role, text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role || chr(0) || text) AS pos
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL)
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, {_CRC32} % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), heads AS (
+  SELECT c.conv_id, pos AS depth, role, text FROM convs c JOIN turns t ON t.conv_id = c.base AND pos <= h
+), sizes AS (
+  SELECT conv_id, count(*) AS n_head FROM heads GROUP BY conv_id
+), rebuilt AS (
+  FROM heads UNION ALL
+  SELECT c.conv_id, coalesce(n_head, 0) + pos - h, role, text
+  FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND pos > h LEFT JOIN sizes s ON s.conv_id = c.conv_id
+), prefixes AS (
+  SELECT conv_id, 0 AS depth, [] AS path, 0 AS bytes FROM convs UNION ALL
+  SELECT conv_id, depth, list([role, text]) OVER (PARTITION BY conv_id ORDER BY depth),
+    octet_length(encode(text)) FROM rebuilt
+), placed AS (
+  SELECT conv_id, depth, bytes, min(conv_id) OVER (PARTITION BY depth, path) AS owner,
+    max(depth) OVER (PARTITION BY conv_id) AS length FROM prefixes
+), nodes AS (
+  SELECT owner, depth, count(*) AS n_convs, any_value(bytes) AS bytes, max(length) = depth AS is_leaf,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE depth = length), ''))
+      AS ends_sha256
+  FROM placed GROUP BY owner, depth
+), tree AS (
+  SELECT n.*, p.owner AS parent FROM nodes n
+  LEFT JOIN placed p ON p.conv_id = n.owner AND p.depth = n.depth - 1
+), children AS (
+  SELECT parent AS owner, depth - 1 AS depth, count(*) AS n FROM tree WHERE depth > 0 GROUP BY ALL
+), below AS (
+  SELECT p.owner, p.depth, count(*) FILTER (WHERE is_leaf) AS n_leaves, sum((n_convs - 1) * n.bytes) AS saved
+  FROM nodes n JOIN placed p ON p.conv_id = n.owner AND p.depth <= n.depth GROUP BY p.owner, p.depth
+)
+SELECT t.owner AS conv_id, CAST(t.depth AS BIGINT) AS depth, parent AS parent_conv_id, n_convs,
+  coalesce(c.n, 0) AS n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM tree t JOIN below b ON t.owner = b.owner AND t.depth = b.depth
+LEFT JOIN children c ON t.owner = c.owner AND t.depth = c.depth
+"""
+
+
+@query("op13_prefix_trie", TRIE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
