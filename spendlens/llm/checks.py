@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlens.llm import (
-    bpe, licenses, lines, preferences, quality, search, simhash, token_counts, toxicity, trie, warc, winnow,
+    bpe, language, licenses, lines, preferences, quality, search, simhash, token_counts, toxicity, trie, warc, winnow,
 )
-from spendlens.llm.common import work_folder
+from spendlens.llm.common import held_out, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -334,12 +334,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     return toxicity.with_toxicity(docs, model).select(
         "doc_id",
-        toxicity.held_out().alias("held_out"),
+        held_out().alias("held_out"),
         "score",
         F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"),
     )
 
 
+@query("op11_language_id")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.learn(docs)
+    return language.with_language(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
 SEARCH_SQL = f"""
 WITH doc_terms AS (
   SELECT row_no, doc_id, unnest(regexp_extract_all(translate(text, {_ASCII_LOWER}),

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import mixed, replacing
+from spendlens.llm.common import held_out, mixed, replacing
 
 #: Bounds of the training sample: documents of either class, and characters of one.
 #: Scores, in contrast, always read whole texts.
@@ -275,11 +275,6 @@ def _score_udf(model: Model):
     return compute.asNondeterministic()
 
 
-def held_out(id_col: str = "doc_id"):
-    """True for the ids whose labels are never used: crc32 of the id as text, modulo 3, is 1."""
-    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
-
-
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> Model:
     """The model fitted on a bounded sample of the labelled rows that are not held out."""
