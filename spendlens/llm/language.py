@@ -341,12 +341,14 @@ def sample(rows: DataFrame, docs: int) -> list[tuple[str, list[str]]]:
         F.sequence(F.lit(1), F.lit(PASSAGES)), lambda i: F.pmod(F.xxhash64("id", i), room).cast("int") + 1
     )
     passages = F.transform(F.array_distinct(places), lambda p: F.substring(F.col("text"), p, F.lit(PASSAGE_CHARS)))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "passages")
-    chosen = (
-        rows.select("id", "lang", passages.alias("passages"))
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= max(1, docs // len(languages)))
-    )
+    order = [F.xxhash64("id"), "id", "passages"]
+    most = max(1, docs // len(languages))
+    parts = F.lit(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    chosen = rows.select("id", "lang", passages.alias("passages"))
+    # First within parts: a language may hold nearly all rows.
+    for keys in (["lang", F.pmod(F.xxhash64("id"), parts)], ["lang"]):
+        ranked = chosen.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        chosen = ranked.where(F.col("rank") <= most)
     taken = set(languages)
     found = chosen.join(names.select("lang"), "lang", "left_semi").orderBy("lang", "rank").collect()
     return [(r["lang"], r["passages"]) for r in found if r["lang"] in taken]
