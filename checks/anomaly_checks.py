@@ -23,7 +23,7 @@ FROM daily n LEFT JOIN daily b ON {join}"""
 ROWS_BACK = _compared("b.i = n.i - 7")
 
 
-@query("week_over_week", ROWS_BACK, _daily(60))
+@query("week_over_week", ROWS_BACK, _daily(60), traits=("daily window",))
 def _(t):
     return anomaly.week_over_week(t.metering_daily, AS_OF)
 
@@ -39,6 +39,7 @@ def _(t):
 SELECT max(wow_pct) AS peak_pct, coalesce(max(wow_pct) > 50, false) AS is_spike
 FROM ({ROWS_BACK} ORDER BY n.day DESC LIMIT 30) newest""",
     _daily(60),
+    traits=("daily window",),
 )
 def _(t):
     return anomaly.wow_peak(t.metering_daily, AS_OF)
@@ -101,6 +102,7 @@ SELECT n.day, CAST(max(n.c) AS DOUBLE) / 1e9 AS credits, (CAST(sum(b.c) AS DOUBL
   (CAST(max(n.c) AS DOUBLE) / 1e9) / ((CAST(sum(b.c) AS DOUBLE) / 1e9) / count(*)) > 3.0 AS is_anomaly
 FROM daily n JOIN daily b ON b.i BETWEEN n.i - 6 AND n.i GROUP BY n.day""",
     _daily(30),
+    traits=("daily window",),
 )
 def _(t):
     return anomaly.rolling_spike(t.metering_daily, AS_OF)

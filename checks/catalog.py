@@ -17,6 +17,11 @@ QUERIES: dict[str, Query] = {}
 BUILDS: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
 
+#: What the plan of a query may hold that others must not: "python" (a caller's scorer, or a
+#: fold in order), "daily window" (a window without key, over one row per day), "writes"
+#: (building the query stores something first).
+TRAITS: dict[str, frozenset[str]] = {}
+
 
 def run_folder(spark: SparkSession, name: str) -> str:
     """A folder for one run; a session that names no shared one gets its own."""
@@ -39,13 +44,14 @@ class Inputs:
         return table(self.spark, self.sf_dir, name)
 
 
-def query(name: str, oracle: str | None = None, extra: str = ""):
+def query(name: str, oracle: str | None = None, extra: str = "", traits: tuple[str, ...] = ()):
     """Register a query; the oracle gets the views it names as CTEs."""
 
     def register(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
         BUILDS[name] = build
+        TRAITS[name] = frozenset(traits)
         QUERIES[name] = lambda spark, sf_dir: build(Inputs(spark, sf_dir))
         if oracle is not None:
             ORACLES[name] = standalone(oracle, extra)

@@ -56,6 +56,45 @@ def _(t):
     return controls.rolling_peaks(_capped(t))
 
 
+# Instants of a user and surface in order; each step keeps the calls of the last day that counted.
+ENFORCED = f"""RECURSIVE calls AS (
+SELECT 'cli' AS surface, * FROM assistant_cli_usage UNION ALL SELECT 'web', * FROM assistant_web_usage),
+instants AS (
+SELECT user_id, surface, event_timestamp AS moment, CAST(sum({nano_of('total_credits')}) AS BIGINT) AS c,
+  CASE WHEN {CHANGED} THEN 5000000 ELSE 6000000 END AS cap,
+  row_number() OVER (PARTITION BY user_id, surface ORDER BY event_timestamp) AS n
+FROM calls GROUP BY 1, 2, 3),
+walk AS (
+SELECT user_id, surface, n, moment, cap, c > cap AS blocked,
+  CASE WHEN c > cap THEN [] ELSE [{{'moment': moment, 'c': c}}] END AS kept FROM instants WHERE n = 1
+UNION ALL
+SELECT user_id, surface, n, moment, cap, spent + c > cap,
+  CASE WHEN spent + c > cap THEN held ELSE list_append(held, {{'moment': moment, 'c': c}}) END
+FROM (SELECT *, coalesce(list_sum(list_transform(held, lambda k: k.c)), 0) AS spent FROM (
+  SELECT i.*, list_filter(w.kept, lambda k: k.moment >= i.moment - INTERVAL 24 HOUR) AS held
+  FROM instants i JOIN walk w ON w.user_id = i.user_id AND w.surface = i.surface AND w.n = i.n - 1) a) b)"""
+
+
+@query(
+    "rolling_cap_enforced",
+    """
+SELECT c.surface, c.request_id, c.user_id, c.user_name, c.event_timestamp, CAST(c.total_credits AS DOUBLE) AS total_credits,
+  CAST(coalesce(list_sum(list_transform(kept, lambda k: k.c)), 0) AS DOUBLE) / 1e9 AS rolling_credits,
+  CAST(cap AS DOUBLE) / 1e9 AS credit_limit, blocked
+FROM calls c JOIN walk w ON c.user_id = w.user_id AND c.surface = w.surface AND c.event_timestamp = w.moment""",
+    ENFORCED,
+    traits=("python",),
+)
+def _(t):
+    calls = controls.surfaces(cli=t.assistant_cli_usage, web=t.assistant_web_usage)
+    overrides = (
+        calls.where(CHANGED).select("user_id").distinct().withColumn("credits", F.lit(0.005))
+    )
+    money = ("total_credits", "rolling_credits", "credit_limit")
+    capped = controls.rolling_cap_enforced(calls, LIMIT, overrides)
+    return capped.withColumns({c: F.col(c).cast("double") for c in money})
+
+
 def limits_table(t, scopes):
     return t.spark.createDataFrame(list(scopes.items()), "scope string, credits bigint")
 

@@ -6,7 +6,7 @@ last digits; the oracles work on whole nano-credits.
 
 from __future__ import annotations
 
-from checks.catalog import BUILDS, ORACLES, QUERIES, Inputs, run_folder
+from checks.catalog import BUILDS, ORACLES, QUERIES, TRAITS, Inputs, run_folder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from spendlens.operators import attribution, tracking, waste
@@ -60,6 +60,7 @@ def small_oracle(sql: str) -> str:
 def _register(name: str) -> None:
     QUERIES[f"{name}_small"] = lambda spark, sf_dir: BUILDS[name](SmallInputs(spark, sf_dir))
     ORACLES[f"{name}_small"] = small_oracle(ORACLES[name])
+    TRAITS[f"{name}_small"] = TRAITS[name]
 
 
 for _name in NAMES:
@@ -83,6 +84,7 @@ def _from_stored(name: str, source: tuple[str, str, str], build) -> None:
         stored_rollup(Inputs(spark, sf_dir), *source), Inputs(spark, sf_dir)
     )
     ORACLES[f"{name}_stored_rollup"] = ORACLES[name]
+    TRAITS[f"{name}_stored_rollup"] = TRAITS[name] | {"writes"}
 
 
 _FUNCTIONS = ("ai_function_usage", "start_time", "credits")

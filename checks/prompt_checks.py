@@ -212,6 +212,7 @@ SELECT doc_id, CAST(score AS DOUBLE) AS score, CAST(size_class AS BIGINT) AS siz
   CASE WHEN score > 0.3 THEN 'Positive' WHEN score < -0.3 THEN 'Negative' ELSE 'Neutral' END AS sentiment_label
 FROM scored""",
     SCORED,
+    traits=("python",),
 )
 def _(t):
     scored = prompts.enrich(
@@ -230,7 +231,7 @@ SELECT doc_id % 3 AS doc_id, CASE WHEN {tokens()} <= 1000 THEN (length(text) % 2
 FROM documents)"""
 
 
-@query("enrich_repeated_keys", "SELECT doc_id, CAST(score AS DOUBLE) AS score FROM scored", REPEATED)
+@query("enrich_repeated_keys", "SELECT doc_id, CAST(score AS DOUBLE) AS score FROM scored", REPEATED, traits=("python",))
 def _(t):
     docs = t.documents.withColumn("doc_id", F.col("doc_id") % 3)
     scored = prompts.enrich(docs, _length_scorer(), "score double, size_class bigint", max_tokens=1000)
@@ -249,6 +250,7 @@ def _(t):
 @query(
     "ledger_round",
     "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND lang <> 'en'",
+    traits=("writes",),
 )
 def _(t):
     """Filter, process the English rows, append them to the ledger, filter again."""

@@ -24,13 +24,14 @@ def view_sql(name: str) -> str:
 def standalone(query: str, extra: str = "") -> str:
     """Put the views a query names in front of it, as CTEs.
 
-    ``extra`` holds further CTEs, already in ``name AS (...)`` form.
+    ``extra`` holds further CTEs, already in ``name AS (...)`` form; RECURSIVE may come first.
     """
+    with_, extra = ("WITH RECURSIVE ", extra[10:]) if extra.startswith("RECURSIVE ") else ("WITH ", extra)
     named = [v for v in VIEWS if re.search(rf"\b{v}\b", query + extra)]
     ctes = [f"{v} AS ({view_sql(v)})" for v in named]
     if extra:
         ctes.append(extra.strip())
-    head = "WITH " + ",\n".join(ctes) + "\n" if ctes else ""
+    head = with_ + ",\n".join(ctes) + "\n" if ctes else ""
     return head + query.strip()
 
 

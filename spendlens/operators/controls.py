@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from spendlens.functions.money import credit, dec, quotient, resummed
 from spendlens.functions.tags import tag_value
 from spendlens.functions.time import literal_like, month_start, parse_as_of, recent, truncated
-from spendlens.plans.running import rolling_totals, running_totals
+from spendlens.plans.episodes import blocked_instants
+from spendlens.plans.running import instant_totals, meet_instants, rolling_totals, running_totals
 
 # Tag keys every call should carry.
 REQUIRED_TAG_KEYS = ("team", "project", "env")
@@ -95,6 +96,69 @@ def rolling_cap(
     )
 
 
+def rolling_cap_enforced(
+    calls,
+    limit=DAILY_LIMIT,
+    overrides: DataFrame | None = None,
+    hours=CAP_HOURS,
+    keys: Sequence[str] = ("user_id", "surface"),
+    time_col="event_timestamp",
+    credit_col="total_credits",
+    block="1 minute",
+    as_of=None,
+    days=None,
+) -> DataFrame:
+    """Every call with what counted of its user's spend, the limit, and whether it was blocked.
+
+    As ``rolling_cap``, but a blocked call does not count towards later ones. A call is
+    blocked when it would bring the spend that counted in the ``hours`` before it over
+    the limit, so a user at the limit is blocked until enough of it is ``hours`` old. Calls
+    of one instant stand or fall together, as they count together in the audit; refunds
+    always count. A call without a time is neither counted nor blocked (NULL).
+
+    Decisions hang on all earlier ones, so with ``as_of`` and ``days`` all calls up to
+    ``as_of`` count and those of the window are returned.
+    """
+    if as_of is not None:
+        calls = recent(calls, time_col, as_of)
+    spent = calls.withColumn(credit_col, credit(credit_col))
+    known = spent.withColumn(credit_col, F.coalesce(credit_col, dec(0)).cast("decimal(18,9)"))
+    totals = instant_totals(known, keys, time_col, credit_col, hours, block)
+    cap = dec(limit).cast("decimal(18,9)")
+    if overrides is not None:
+        on = [k for k in keys if k in overrides.columns]
+        caps = overrides.select(*on, F.col("credits").cast("decimal(18,9)").alias("_own_cap"))
+        totals, cap = totals.join(caps, on, "left"), F.coalesce("_own_cap", cap)
+    totals = totals.select(*keys, "_at", "_change", "_rolling", cap.alias("_cap"))
+    stopped = blocked_instants(totals, keys, hours).withColumn("_stopped", F.lit(True))
+    # What counted is a rolling total again, over instants whose blocked spend is zero.
+    decided = totals.select(*keys, "_at", "_change", "_cap").join(
+        stopped.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_at").alias("_when"), "_stopped"),
+        _same_instant(keys), "left",
+    ).select(
+        *keys, F.col("_at").alias("_when"), "_cap", F.coalesce("_stopped", F.lit(False)).alias("_stopped"),
+        F.when(F.col("_stopped"), dec(0)).otherwise(F.col("_change")).cast("decimal(28,9)").alias("_counted"),
+    )
+    counted = rolling_totals(decided, keys, "_when", "_counted", hours, block)
+    met = meet_instants(spent, keys, time_col, counted.drop("_counted").withColumnRenamed("_when", "_at"))
+    if as_of is not None and days is not None:
+        start = parse_as_of(as_of) - timedelta(days=days)
+        met = met.where(F.col(time_col) >= literal_like(start, calls.schema[time_col].dataType))
+    return met.select(
+        *calls.columns,
+        F.col("rolling__counted").alias("rolling_credits"),
+        F.col("_cap").alias("credit_limit"),
+        F.col("_stopped").alias("blocked"),
+    )
+
+
+def _same_instant(keys: Sequence[str]) -> Column:
+    same = F.col("_at") == F.col("_when")
+    for key in keys:
+        same &= F.col(key).eqNullSafe(F.col(f"_{key}"))
+    return same
+
+
 def rolling_peaks(capped, keys: Sequence[str] = ("user_id", "surface")) -> DataFrame:
     """Per user and surface: peak rolling spend, calls over the limit, first such call."""
     over = F.col("over_limit")

@@ -57,7 +57,7 @@ def running_totals(
     )
 
 
-def rolling_totals(
+def instant_totals(
     df: DataFrame,
     keys: Sequence[str],
     time_col: str,
@@ -65,15 +65,11 @@ def rolling_totals(
     hours: int = 24,
     block: str = "1 minute",
 ) -> DataFrame:
-    """Add ``rolling_<value>``: the total over the ``hours`` up to each row.
-
-    Both ends count, as in ``RANGE BETWEEN n HOURS PRECEDING AND CURRENT ROW``. A row
-    without a time is in no window and gets NULL.
+    """Per key and instant (``_at``) its sum ``_change``, and ``_rolling`` over the ``hours`` up to it.
 
-    Values are first summed per key and instant. An instant adds its sum when it
-    happens and takes it back one microsecond after the window has passed it; the
-    rolling total is then the running total of those moves, which splits into
-    blocks. Only keys, instants and sums take part; the rows meet the result once.
+    An instant adds its sum when it happens and takes it back one microsecond after
+    the window has passed it; the rolling total is then the running total of those
+    moves, which splits into blocks. Rows without a time are left out.
     """
     instants = (
         df.where(F.col(time_col).isNotNull())
@@ -88,23 +84,46 @@ def rolling_totals(
         *keys, "_move._at", "_move._change", "_move._real"
     )
     block_start = F.window("_at", block).start
-    totals = (
-        running_totals(moves, keys, "_at", ["_change"], block_start, prefix="_total")
-        .where("_real")
-        .select(
-            *[F.col(k).alias(f"_{k}") for k in keys],
-            F.col("_at"),
-            F.lit(0).cast("bigint").alias("_apart"),
-            F.col("_total_change").cast("decimal(28,9)").alias(f"rolling_{value}"),
-        )
+    totals = running_totals(moves, keys, "_at", ["_change"], block_start, prefix="_total")
+    return totals.where("_real").select(
+        *keys, "_at", "_change", F.col("_total_change").cast("decimal(28,9)").alias("_rolling")
+    )
+
+
+def rolling_totals(
+    df: DataFrame,
+    keys: Sequence[str],
+    time_col: str,
+    value: str,
+    hours: int = 24,
+    block: str = "1 minute",
+) -> DataFrame:
+    """Add ``rolling_<value>``: the total over the ``hours`` up to each row.
+
+    Both ends count, as in ``RANGE BETWEEN n HOURS PRECEDING AND CURRENT ROW``. A row
+    without a time is in no window and gets NULL. Only keys, instants and sums take
+    part in the work on windows; the rows meet the result once.
+    """
+    totals = instant_totals(df, keys, time_col, value, hours, block).withColumnRenamed(
+        "_rolling", f"rolling_{value}"
+    )
+    return meet_instants(df, keys, time_col, totals.drop("_change"))
+
+
+def meet_instants(df: DataFrame, keys: Sequence[str], time_col: str, instants: DataFrame) -> DataFrame:
+    """``df`` with the other columns of ``instants``, one row per key and ``_at``; NULL where none.
+
+    Rows without a time find nothing; a hash keeps them from meeting in one task.
+    """
+    extra = [c for c in instants.columns if c not in (*keys, "_at")]
+    other = instants.select(
+        *[F.col(k).alias(f"_{k}") for k in keys],
+        F.col("_at"),
+        F.lit(0).cast("bigint").alias("_apart"),
+        *extra,
     )
-    # Rows without a time find nothing; a hash keeps them from meeting in one task.
     apart = F.when(F.col(time_col).isNull(), F.xxhash64(*df.columns)).otherwise(0)
     same = (F.col(time_col) == F.col("_at")) & (F.col("_spread") == F.col("_apart"))
     for key in keys:
         same &= F.col(key).eqNullSafe(F.col(f"_{key}"))
-    return (
-        df.withColumn("_spread", apart)
-        .join(totals, same, "left")
-        .select(*df.columns, f"rolling_{value}")
-    )
+    return df.withColumn("_spread", apart).join(other, same, "left").select(*df.columns, *extra)

@@ -14,8 +14,6 @@ from checks.fixtures import AS_OF
 from tests.conftest import SMALL
 
 BATCH = sorted(name for name in QUERIES if not name.startswith("stream_"))
-# Windows over daily totals: at most one row per day reaches the single task.
-DAILY_WINDOWS = {"week_over_week", "wow_peak", "rolling_spike"}
 
 
 def plan_of(df):
@@ -26,15 +24,11 @@ def plan_of(df):
 def test_no_risky_operators(spark, name):
     plan = plan_of(QUERIES[name](spark, SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    if name not in DAILY_WINDOWS:
+    if "daily window" not in catalog.TRAITS[name]:
         assert not ("Window [" in plan and re.search(r"Exchange SinglePartition.*\n.*Window", plan))
         assert not re.search(r"Window \[.*\n\W*Sort .*\n\W*Exchange SinglePartition", plan)
-    if name != "enrich_new_rows":
-        assert "Python" not in plan and "InPandas" not in plan
-
-
-# These write before they read: a ledger or a stored rollup.
-WRITING = {"ledger_round", *(n for n in QUERIES if n.endswith("_stored_rollup"))}
+    if "python" not in catalog.TRAITS[name]:
+        assert "Python" not in plan and "InPandas" not in plan and "InArrow" not in plan
 
 
 def test_building_queries_runs_no_job(spark, monkeypatch):
@@ -46,7 +40,7 @@ def test_building_queries_runs_no_job(spark, monkeypatch):
         return frames[name]
 
     monkeypatch.setattr(catalog, "table", kept)
-    names = [n for n in BATCH if n not in WRITING]
+    names = [n for n in BATCH if "writes" not in catalog.TRAITS[n]]
     for name in names:
         QUERIES[name](spark, SMALL)  # the first time reads the footers of the files
     for name in names:
