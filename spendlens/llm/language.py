@@ -302,7 +302,7 @@ def train(samples: list[tuple[str, list[str]]], n_docs: int, df: np.ndarray, see
 def _learnable(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     known = F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
     return docs.where(known & ~held_out(id_col)).select(
-        F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
+        F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
     )
 
 
@@ -329,29 +329,32 @@ def count_documents(rows: DataFrame) -> tuple[int, np.ndarray]:
 def sample(rows: DataFrame, docs: int) -> list[tuple[str, list[str]]]:
     """Language and passages of up to ``docs`` documents, evenly over the languages.
 
-    Documents are taken in the order of their ids' hashes; passages start at hashed
+    Documents are taken in the order of hashes of id and text; passages start at hashed
     places of the whole text. With more languages than ``docs``, the most frequent count.
     """
-    names = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(docs)
-    languages = [r["lang"] for r in names.collect()]
-    if not languages:
-        return []
     room = F.greatest(F.lit(1), F.length("text") - PASSAGE_CHARS + 1)
     places = F.transform(
         F.sequence(F.lit(1), F.lit(PASSAGES)), lambda i: F.pmod(F.xxhash64("id", i), room).cast("int") + 1
     )
     passages = F.transform(F.array_distinct(places), lambda p: F.substring(F.col("text"), p, F.lit(PASSAGE_CHARS)))
-    order = [F.xxhash64("id"), "id", "passages"]
-    most = max(1, docs // len(languages))
-    parts = F.lit(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    chosen = rows.select("id", "lang", passages.alias("passages"))
-    # First within parts: a language may hold nearly all rows.
-    for keys in (["lang", F.pmod(F.xxhash64("id"), parts)], ["lang"]):
-        ranked = chosen.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-        chosen = ranked.where(F.col("rank") <= most)
-    taken = set(languages)
-    found = chosen.join(names.select("lang"), "lang", "left_semi").orderBy("lang", "rank").collect()
-    return [(r["lang"], r["passages"]) for r in found if r["lang"] in taken]
+    hashed = rows.withColumn("h", F.xxhash64("id", "text"))
+    counted = hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("least"))
+    names = counted.orderBy(F.desc("n"), "lang").limit(docs).collect()
+    if not names:
+        return []
+    # Up to this hash a language has about four times the rows wanted, and one at least.
+    most = max(1, docs // len(names))
+    low, span = -(1 << 63), 1 << 64
+    cuts = [(r["lang"], max(r["least"], min(low + span * 4 * most // r["n"], low + span - 1))) for r in names]
+    cut = F.broadcast(rows.sparkSession.createDataFrame(cuts, "lang string, cut bigint"))
+    order = Window.partitionBy("lang").orderBy("h", "id", "passages")
+    found = (
+        hashed.join(cut, "lang").where(F.col("h") <= F.col("cut"))
+        .select("id", "lang", "h", passages.alias("passages"))
+        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
+        .orderBy("lang", "rank").collect()
+    )
+    return [(r["lang"], r["passages"]) for r in found]
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
