@@ -4,7 +4,7 @@ from checks.catalog import query, run_folder
 from checks.sql import NOW, average, half_up, last, nano_of
 from pyspark.sql import functions as F
 from spendlens.operators import prompts
-from spendlens.sources import logs
+from spendlens.sources import keyed, logs
 from checks.fixtures import AS_OF
 
 PREFIX = "Summarize: "
@@ -262,6 +262,28 @@ def _(t):
     return prompts.new_rows_only(t.documents, held).select("doc_id", "lang")
 
 
+@query(
+    "update_processed",
+    """
+SELECT d.doc_id, lang, CASE WHEN lang = 'en' OR quality = 0 THEN TIMESTAMP '2024-01-31 00:00:00' END AS processed_at,
+  CAST(quality AS BIGINT) AS quality
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+UNION ALL SELECT -1, NULL, NULL, 1""",
+    traits=("writes",),
+)
+def _(t):
+    """A keyed table marked by condition, then given a new column by key, and marked by that."""
+    path = run_folder(t.spark, "reviews")
+    now = F.lit(AS_OF).cast("timestamp_ntz")
+    rows = t.documents.select("doc_id", "lang").withColumn("processed_at", F.lit(None).cast("timestamp_ntz"))
+    keyed.create_keyed(rows, path, "doc_id")
+    keyed.update_where(t.spark, path, F.col("processed_at").isNull() & (F.col("lang") == "en"), {"processed_at": now})
+    added = t.spark.createDataFrame([(-1, 1)], "doc_id bigint, quality bigint")
+    keyed.upsert(t.labels.select("doc_id", F.col("quality").cast("bigint")).unionByName(added), path)
+    keyed.update_where(t.spark, path, F.col("quality") == 0, {"processed_at": now})
+    return keyed.read_keyed(t.spark, path)
+
+
 @query(
     "sentiment_labels",
     """
