@@ -6,6 +6,10 @@ through a linear layer with two outputs and a softmax. Vectors and layer are
 trained together. A misspelling never seen shares most n-grams with the word it
 stands for.
 
+Every character that is no letter, mark or digit parts words, in any script. A
+bag holds few words and few n-grams, and a run without parting characters is cut
+into overlapping pieces, so no bag grows with its text.
+
 Labels are given per document while a few words make it toxic. So a document
 scores as its most toxic bag, and training alternates: pick the worst bags of
 each toxic document under the present model, then fit those against all bags of
@@ -17,6 +21,9 @@ number per n-gram: its part of the difference of the two outputs.
 
 from __future__ import annotations
 
+import heapq
+import unicodedata
+import warnings
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -27,16 +34,21 @@ from pyspark.sql import functions as F
 
 from spendlens.llm.common import held_out, mixed, replacing
 
-#: Bounds of the training sample: documents of either class, and characters of one.
-#: Scores, in contrast, always read whole texts.
-SAMPLE_DOCS = 1200
-SAMPLE_CHARS = 6000
+#: Bounds of the training sample: documents of either class, and bags of one, taken
+#: from all over its text. Scores, in contrast, always read whole texts.
+SAMPLE_DOCS = 2000
+SAMPLE_BAGS = 128
 
-#: Hash buckets of n-grams, length of their vectors, n-gram lengths, words in a bag.
+#: Hash buckets of n-grams, length of their vectors, n-gram lengths.
 BUCKETS = 1 << 18
 DIM = 8
 LENGTHS = (3, 4, 5, 6)
+
+#: Words and n-grams in a bag; characters of a piece of a long run, and its overlap.
 BAG_WORDS = 8
+BAG_GRAMS = 320
+RUN = 40
+OVERLAP = max(LENGTHS)
 
 #: Bags with fewer n-grams are filled up with zero vectors: a lone word decides less.
 LEAST_GRAMS = 48
@@ -48,83 +60,125 @@ RATE = 1.0
 #: A document is called toxic from this score on.
 THRESHOLD = 0.7
 
-#: Characters of text turned into n-grams at a time.
+#: Characters of text taken at a time.
 _PART = 1 << 16
 
-# ASCII characters that are no letter and no digit part words, as blanks do.
-_PARTING = {c: " " for c in range(128) if not chr(c).isalnum()}
+
+class _Letters(dict):
+    """For each character its lower-case letter, itself if a mark or digit, else a blank."""
+
+    def __missing__(self, code: int) -> int:
+        char = chr(code)
+        low = char.lower()
+        self[code] = 32 if unicodedata.category(char)[0] not in "LMN" else ord(low) if len(low) == 1 else code
+        return self[code]
 
 
-def spaced(text: str) -> str:
-    """Words in lower case with one blank around each; a word said again at once counts once."""
-    words = text.lower().translate(_PARTING).split()
-    once = [word for word, last in zip(words, [None, *words]) if word != last]
-    return f" {' '.join(once)} "
+_LETTERS = _Letters()
 
+#: N-grams of a word with a blank at both ends, by its length.
+_GRAMS = [sum(max(0, size + 3 - n) for n in LENGTHS) for size in range(RUN + 1)]
 
-def bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """N-grams of texts: bucket and bag of each, and the text of each bag. Bags never span texts."""
-    whole = [spaced(t) for t in texts]
-    flat = np.frombuffer("".join(whole).encode("utf-32-le", "surrogatepass"), np.uint32)
-    blank = flat == 32
-    sizes = np.array([len(w) for w in whole], np.int64)
-    text = np.repeat(np.arange(len(whole)), sizes)
-    # A character belongs to the word that began before it; texts without words have none.
-    begins = blank & np.append(~blank[1:], False) & np.append(text[1:] == text[:-1], False)
+
+def words(text: str) -> Iterator[str]:
+    """Words of a text in lower case, long runs in pieces; one said again at once counts once.
+
+    Takes some characters at a time, so a long text is never held in another form.
+    """
+    carry, last = "", None
+    for i in range(0, len(text), _PART):
+        part = carry + text[i : i + _PART].translate(_LETTERS)
+        found = part.split()
+        # A word that may go on waits for the next part, but for its full pieces.
+        carry = found.pop() if found and not part[-1].isspace() and i + _PART < len(text) else ""
+        while len(carry) > RUN + OVERLAP:
+            found.append(carry[:RUN])
+            carry = carry[RUN - OVERLAP :]
+        for word in found:
+            if len(word) <= RUN:
+                if word != last:
+                    yield word
+                last = word
+                continue
+            for j in range(0, len(word) - OVERLAP, RUN - OVERLAP):
+                piece = word[j : j + RUN]
+                if piece != last:
+                    yield piece
+                last = piece
+
+
+def bags(text: str) -> Iterator[list[str]]:
+    """The words of a text, bag by bag; a last bag of few words goes with the one before."""
+    ready, bag, grams = None, [], 0
+    for word in words(text):
+        more = _GRAMS[len(word)]
+        if bag and (len(bag) == BAG_WORDS or grams + more > BAG_GRAMS):
+            if ready:
+                yield ready
+            ready, bag, grams = bag, [], 0
+        bag.append(word)
+        grams += more
+    if ready and 2 * len(bag) < BAG_WORDS:
+        yield ready + bag
+    else:
+        yield from filter(None, (ready, bag))
+
+
+def hashed(parts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams of bags: the bucket and the bag of each."""
+    sizes = np.array([len(b) for b in parts], np.int64)
+    flat = f" {' '.join(w for b in parts for w in b)} "
+    codes = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), np.uint32)
+    blank = codes == 32
+    # A character belongs to the word that began before it.
+    begins = blank & np.append(~blank[1:], False)
+    bag_of_word = np.repeat(np.arange(len(parts)), sizes)
     word = np.cumsum(begins) - 1
-    text_of_word = text[begins]
-    first_word = np.searchsorted(text_of_word, np.arange(len(whole)))
-    nth = np.arange(len(text_of_word)) - first_word[text_of_word]
-    # Bags of a text are equally long, up to a word.
-    words = np.bincount(text_of_word, minlength=len(whole))
-    split = np.maximum(1, words // BAG_WORDS)[text_of_word]
-    place = nth * split // np.maximum(1, words[text_of_word])
-    opens = (nth == 0) | (np.append(-1, place[:-1]) != place)
-    bag_of_word = np.cumsum(opens) - 1
     blanks = np.cumsum(blank)
-    h = flat.astype(np.uint64)
+    h = codes.astype(np.uint64)
     buckets, bag = [], []
     for n in range(2, max(LENGTHS) + 1):
-        if len(flat) < n:
+        if len(codes) < n:
             break
-        h = h[: len(flat) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + flat[n - 1 :].astype(np.uint64)
+        h = h[: len(codes) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + codes[n - 1 :].astype(np.uint64)
         if n not in LENGTHS:
             continue
         # No blank but at the ends.
-        inside = blanks[n - 2 : len(flat) - 1] - blanks[: len(flat) - n + 1] == 0
+        inside = blanks[n - 2 : len(codes) - 1] - blanks[: len(codes) - n + 1] == 0
         at = np.flatnonzero(inside)
         spot = mixed(h[at] ^ np.uint64(n)) >> np.uint64(65 - BUCKETS.bit_length())
         buckets.append(spot.astype(np.int32))
         bag.append(bag_of_word[word[at]].astype(np.int32))
     if not buckets:
-        return np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int64)
-    return np.concatenate(buckets), np.concatenate(bag), text_of_word[opens]
-
-
-def in_parts(texts: Iterable[str]) -> Iterator[list[str]]:
-    """Texts in order, about ``_PART`` characters at a time."""
-    held, size = [], 0
-    for text in texts:
-        held.append(text)
-        size += len(text)
-        if size >= _PART:
-            yield held
-            held, size = [], 0
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
+    return np.concatenate(buckets), np.concatenate(bag)
+
+
+def in_parts(texts: Iterable[Iterable[list[str]]]) -> Iterator[tuple[list[list[str]], list[int]]]:
+    """Bags of several texts in order, about ``_PART`` characters at a time, and each bag's text."""
+    held, owner, size = [], [], 0
+    for number, text in enumerate(texts):
+        for bag in text:
+            held.append(bag)
+            owner.append(number)
+            size += sum(map(len, bag))
+            if size >= _PART:
+                yield held, owner
+                held, owner, size = [], [], 0
     if held:
-        yield held
+        yield held, owner
 
 
-def sorted_bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sorted_bags(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All n-grams' buckets bag by bag, where each bag starts, and the text of each bag."""
-    buckets, sizes, of_text, n_texts = [], [], [], 0
-    for part in in_parts(texts):
-        bucket, bag, text = bags(part)
+    buckets, sizes, of_text = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], []
+    for part, owner in in_parts((bag.split() for bag in text) for text in texts):
+        bucket, bag = hashed(part)
         buckets.append(bucket[np.argsort(bag, kind="stable")])
-        sizes.append(np.bincount(bag, minlength=len(text)))
-        of_text.append(text + n_texts)
-        n_texts += len(part)
+        sizes.append(np.bincount(bag, minlength=len(part)))
+        of_text += owner
     start = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
-    return np.concatenate(buckets), start, np.concatenate(of_text)
+    return np.concatenate(buckets), start, np.array(of_text, np.int64)
 
 
 @dataclass
@@ -134,16 +188,25 @@ class Model:
     parts: np.ndarray | None
     bias: float
 
-    def score(self, texts: list[str]) -> np.ndarray:
+    def score(self, texts: Iterable[str]) -> np.ndarray:
         """Probability of label 1 for each text, that of its most toxic bag."""
-        logits = np.full(len(texts), self.bias)
-        if self.parts is not None:
-            bucket, bag, text = bags(texts)
-            if len(text):
-                logit = self.bias + _means(self.parts[bucket], bag, len(text))
-                worst = np.full(len(texts), -np.inf)
-                np.maximum.at(worst, text, logit)
-                logits = np.where(np.isfinite(worst), worst, self.bias)
+        worst: list[float] = []
+
+        def listed() -> Iterator[Iterator[list[str]]]:
+            for text in texts:
+                worst.append(-np.inf)
+                yield bags(text)
+
+        for part, owner in in_parts(listed()):
+            if self.parts is None:
+                continue
+            bucket, bag = hashed(part)
+            logit = self.bias + _means(self.parts[bucket], bag, len(part))
+            for number, value in zip(owner, logit.tolist()):
+                if value > worst[number]:
+                    worst[number] = value
+        logits = np.array(worst)
+        logits = np.where(np.isfinite(logits), logits, self.bias)
         return 1 / (1 + np.exp(-np.clip(logits, -60, 60)))
 
 
@@ -152,8 +215,11 @@ def _means(values: np.ndarray, bag: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(bag, weights=values, minlength=n) / count
 
 
-def train(texts: list[str], labels: list[int], rounds: int = 6, seed: int = 7) -> Model:
-    """Fit vectors and layer. With one class only, or no texts, the model is a constant."""
+def train(texts: list[list[str]], labels: list[int], rounds: int = 6, seed: int = 7) -> Model:
+    """Fit vectors and layer on texts given by their bags, words parted by blanks.
+
+    With one class only, or no texts, the model is a constant.
+    """
     y = np.asarray(labels, np.int64)
     if len(set(labels)) < 2:
         return Model(None, 6.0 if len(labels) and y[0] == 1 else -6.0)
@@ -214,7 +280,7 @@ def train(texts: list[str], labels: list[int], rounds: int = 6, seed: int = 7) -
     every, toxic = np.arange(len(text)), y[text] == 1
     fit(every, y[text])
     clean = every[~toxic]
-    for _ in range(rounds):
+    for _ in range(rounds if len(clean) and len(clean) < len(every) else 0):
         logit = bag_logits(present())
         worst = np.full(len(texts), -np.inf)
         np.maximum.at(worst, text[toxic], logit[toxic])
@@ -226,41 +292,65 @@ def train(texts: list[str], labels: list[int], rounds: int = 6, seed: int = 7) -
     return Model(model.parts.astype(np.float32), model.bias)
 
 
+def some_bags(text: str, most: int) -> list[str]:
+    """Up to ``most`` bags from all over a text, chosen by the hash of their place."""
+    held: list[tuple[int, int, str]] = []
+    for i, bag in enumerate(bags(text)):
+        place = int(mixed(np.array([i + 1], np.uint64))[0])
+        if len(held) < most:
+            heapq.heappush(held, (-place, i, " ".join(bag)))
+        elif -held[0][0] > place:
+            heapq.heapreplace(held, (-place, i, " ".join(bag)))
+    return [bag for _, _, bag in sorted(held, key=lambda h: h[1])]
+
+
+def _some_bags_udf(most: int):
+    @F.arrow_udf("array<string>")
+    def compute(texts: pa.Array) -> pa.Array:
+        return pa.array([some_bags(t.as_py() or "", most) for t in texts], pa.list_(pa.string()))
+
+    return compute
+
+
 def sample(
-    docs: DataFrame, labels: DataFrame, docs_per_class: int, chars: int,
+    docs: DataFrame, labels: DataFrame, docs_per_class: int, bags_per_doc: int = SAMPLE_BAGS,
     id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-) -> tuple[list[str], list[int]]:
-    """Texts and labels of up to ``docs_per_class`` labelled documents of either class.
-
-    Ids are taken in the order of their hashes; documents longer than ``chars``
-    are no examples. That bounds what the driver holds to ``2 * docs_per_class *
-    chars`` characters. Rows without id or label are left out; an id that is
-    labelled both ways is toxic; texts given twice count twice.
+) -> tuple[list[list[str]], list[int]]:
+    """Bags and labels of up to ``docs_per_class`` labelled documents of either class.
+
+    Ids are taken in the order of their hashes, whatever the length of a text; of each
+    text up to ``bags_per_doc`` bags from all over it. That bounds what the driver holds
+    to ``2 * docs_per_class * bags_per_doc`` bags. Rows without id or label are left out;
+    an id that is labelled both ways is toxic; texts given twice count twice. Where
+    one class is labelled but none of its documents is there, a warning says so.
     """
     known = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
         .groupBy(F.col(id_col).cast("bigint").alias("_id"))
         .agg(F.max(F.col(label_col).cast("int")).alias("_label"))
     )
-    short = docs.where(F.length(text_col) <= chars).select(
-        F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text")
-    )
-    lengths = known.join(short.select("_id"), "_id")
+    there = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"))
+    met = known.join(there.select("_id"), "_id")
     texts, found = [], []
     for label in (0, 1):
         ids = (
-            lengths.where(F.col("_label") == label).select("_id").distinct()
+            met.where(F.col("_label") == label).select("_id").distinct()
             .orderBy(F.xxhash64("_id"), "_id").limit(docs_per_class)
         )
         chosen = [r["_id"] for r in ids.collect()]
         if not chosen:
             continue
         rows = (
-            short.where(F.col("_id").isin(chosen))
-            .orderBy(F.xxhash64("_id"), "_id", "_text").limit(docs_per_class).collect()
+            there.where(F.col("_id").isin(chosen))
+            .select("_id", F.xxhash64("_text").alias("_hash"), _some_bags_udf(bags_per_doc)(F.col("_text")).alias("_bags"))
+            .orderBy(F.xxhash64("_id"), "_id", "_hash").limit(docs_per_class).collect()
         )
-        texts += [r["_text"] for r in rows]
+        texts += [r["_bags"] for r in rows]
         found += [label] * len(rows)
+    if len(set(found)) == 1:
+        other = 1 - found[0]
+        if not known.where(F.col("_label") == other).isEmpty():
+            warnings.warn(f"no labelled document of class {other} is there to learn from", stacklevel=2)
     return texts, found
 
 
@@ -268,9 +358,7 @@ def _score_udf(model: Model):
     @F.arrow_udf("double")
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            texts = (value.as_py() or "" for value in batch)
-            scores = [model.score(part) for part in in_parts(texts)]
-            yield pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())
+            yield pa.array(model.score(value.as_py() or "" for value in batch), pa.float64())
 
     return compute.asNondeterministic()
 
@@ -279,7 +367,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           label_col: str = "toxic") -> Model:
     """The model fitted on a bounded sample of the labelled rows that are not held out."""
     usable = labels.where(~held_out(id_col))
-    return train(*sample(docs, usable, SAMPLE_DOCS, SAMPLE_CHARS, id_col, text_col, label_col))
+    return train(*sample(docs, usable, SAMPLE_DOCS, SAMPLE_BAGS, id_col, text_col, label_col))
 
 
 def with_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
