@@ -3,8 +3,10 @@
 from checks.catalog import query, run_folder
 from checks.sql import NOW, average, half_up, last, nano_of
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from spendlens.operators import prompts
 from spendlens.sources import keyed, logs
+from spendlens.sources.labels import open_cache
 from checks.fixtures import AS_OF
 
 PREFIX = "Summarize: "
@@ -225,6 +227,23 @@ def _(t):
     return prompts.sentiment_labels(scored)
 
 
+@query(
+    "enrich_cached",
+    f"""
+SELECT doc_id, CASE WHEN {tokens()} <= 1000 THEN (length(text) % 201 - 100) / 100.0 END::DOUBLE AS score,
+  CAST(CASE WHEN {tokens()} <= 1000 THEN length(text) // 1000 END AS BIGINT) AS size_class FROM documents""",
+    traits=("python", "writes"),
+)
+def _(t):
+    """The English rows first, then all; the second run scores the texts that are new."""
+    folder = run_folder(t.spark, "labels")
+    labels = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("size_class", T.LongType())])
+    cache = open_cache(t.spark, f"{folder}/cache", labels, buckets=16)
+    for n, docs in enumerate((t.documents.where("lang = 'en'"), t.documents)):
+        found = prompts.enrich_cached(docs, _length_scorer(), cache, "v1", f"{folder}/{n}", max_tokens=1000)
+    return found
+
+
 # Three keys for all documents: every row must come back once.
 REPEATED = f"""scored AS (
 SELECT doc_id % 3 AS doc_id, CASE WHEN {tokens()} <= 1000 THEN (length(text) % 201 - 100) / 100.0 END AS score

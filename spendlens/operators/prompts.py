@@ -25,6 +25,7 @@ from spendlens.functions.text import (
 )
 from spendlens.functions.time import literal_like, parse_as_of
 from spendlens.plans.skew import hot_keys, lookup
+from spendlens.sources.labels import LabelCache
 from spendlens.sources.rates import (
     CHARACTER_RATES,
     MODEL_RATES,
@@ -270,17 +271,74 @@ def enrich(
         .agg(F.any_value("_text").alias("_text"))
     )
 
+    scored = _scored(unique, scorer, fields)
+    hot = hot_keys(groups, "text_hash", "copies")
+    return lookup(rows, scored, "text_hash", hot, row_id=key).select(key, *labels)
+
+
+def hashed_inputs(docs, folder: str, text="text", key="doc_id", max_tokens: int | None = None) -> DataFrame:
+    """Key and text hash of every row, written to ``folder`` and read back.
+
+    The one pass over all texts: what groups, matches or counts texts reads this table.
+    A text over ``max_tokens`` and a missing one have no hash.
+    """
+    text_hash = F.sha2(F.col(text), 256)
+    if max_tokens is not None:
+        text_hash = F.when(estimate_tokens(F.col(text)) <= max_tokens, text_hash)
+    rows = docs.select(F.col(key), text_hash.alias("text_hash"))
+    rows.write.mode("overwrite").parquet(folder)
+    return docs.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def enrich_cached(
+    docs,
+    scorer: Scorer,
+    cache: LabelCache,
+    version: str,
+    folder: str,
+    text="text",
+    key="doc_id",
+    max_tokens: int | None = None,
+) -> DataFrame:
+    """As ``enrich``, but a text is scored once per ``version`` of the scorer, over all runs.
+
+    Labels are kept in ``cache`` by text hash. All texts are read once, to be hashed into
+    ``folder``; only where some are new they are read again, and of those one row
+    each goes to the scorer. A run that was cut off scores what is still missing.
+    """
+    rows = hashed_inputs(docs, folder, text, key, max_tokens)
+    groups = (
+        rows.where(F.col("text_hash").isNotNull())
+        .groupBy("text_hash")
+        .agg(F.min(key).alias("_key"), F.count(F.lit(1)).alias("copies"))
+    )
+    # Only the asked hashes move here; the cache is read as it lies.
+    unseen = groups.join(cache.of(version), "text_hash", "left_anti").select("text_hash", "_key")
+    if not unseen.isEmpty():
+        own_hash = F.sha2(F.col(text), 256)
+        there = docs.select(F.col(key).alias("_own"), F.col(text).alias("_text"), own_hash.alias("_hash"))
+        same = F.col("_own").eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("text_hash"))
+        unique = (
+            there.join(unseen, same).groupBy("text_hash").agg(F.any_value("_text").alias("_text"))
+        )
+        fields = [f for f in cache.spark.table(cache.name).schema if f.name in cache.labels]
+        cache.add(_scored(unique, scorer, fields), version)
+    found = groups.select("text_hash").join(cache.of(version), "text_hash")
+    hot = hot_keys(groups, "text_hash", "copies")
+    return lookup(rows, found, "text_hash", hot, row_id=key).select(key, *cache.labels)
+
+
+def _scored(unique: DataFrame, scorer: Scorer, fields: list[T.StructField]) -> DataFrame:
+    """Labels of (text_hash, _text) rows; the hash goes along with the text."""
+    labels = [f.name for f in fields]
+
     def score(batches):
         for batch in batches:
             scored = scorer(batch["_text"]).reset_index(drop=True)
             scored.insert(0, "text_hash", batch["text_hash"].to_numpy())
             yield scored[["text_hash", *labels]]
 
-    scored = unique.mapInPandas(
-        score, T.StructType([T.StructField("text_hash", T.StringType()), *fields])
-    )
-    hot = hot_keys(groups, "text_hash", "copies")
-    return lookup(rows, scored, "text_hash", hot, row_id=key).select(key, *labels)
+    return unique.mapInPandas(score, T.StructType([T.StructField("text_hash", T.StringType()), *fields]))
 
 
 def _fields(docs: DataFrame, schema: str | T.StructType) -> list[T.StructField]:
