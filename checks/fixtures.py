@@ -25,6 +25,10 @@ _SQL_RATE = (
     "WHEN 2 THEN 0.00000220 ELSE 0.00000450 END)"
 )
 
+#: When a call of the SQL log happened.
+USAGE_TIME = """TIMESTAMP_NTZ '2024-01-31 00:00:00'
+    - CAST((l_orderkey * 7919 + l_partkey * 104729 + l_linenumber * 31337) % 5529600 AS INT) * INTERVAL '1' SECOND"""
+
 #: View name -> (source table, SQL).
 VIEWS: dict[str, tuple[str, str]] = {
     "users": (
@@ -65,8 +69,7 @@ SELECT concat('s', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)
   CASE WHEN l_returnflag = 'A' THEN NULL WHEN l_returnflag = 'N' THEN ''
     ELSE concat('team=t', CAST(l_suppkey % 5 AS STRING), ',project=p', CAST(l_partkey % 9 AS STRING), ',env=',
       CASE WHEN l_linestatus = 'F' THEN 'prod' ELSE 'dev' END) END AS query_tag,
-  TIMESTAMP_NTZ '2024-01-31 00:00:00'
-    - CAST((l_orderkey * 7919 + l_partkey * 104729 + l_linenumber * 31337) % 5529600 AS INT) * INTERVAL '1' SECOND AS usage_time
+  {USAGE_TIME} AS usage_time
 FROM lineitem""",
     ),
     "search_daily_usage": (

@@ -2,37 +2,57 @@
 
 from checks.catalog import query, run_folder
 from checks.control_checks import ACCOUNT_LIMIT, limits_table
-from checks.sql import dollars, half_up, nano_of, rounded
+from checks.sql import credits, dollars, half_up, nano_of, rounded
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from checks.fixtures import VIEWS, source
-from spendlens.streaming import sinks, spend
+from checks.fixtures import USAGE_TIME, VIEWS, source
+from spendlens.streaming import rollup, sinks, spend
 
 
-BATCHES = 4
-_feeds: dict[tuple[str, str, str], str] = {}
+BATCHES = 3
+_feeds: dict[tuple[str, str, str], tuple[str, int]] = {}
 
 
-def _feed(t, base, time_col):
-    """The source table as files in order of time, the way a log arrives; once per session."""
+def time_parts(rows: DataFrame, at: Column, parts: int) -> list[DataFrame]:
+    """Rows cut by event time into equal parts; those without a time are in the last."""
+    micros = F.unix_micros(at.cast("timestamp"))
+    cuts = rows.select(micros.alias("at")).approxQuantile("at", [i / parts for i in range(1, parts)], 0.01)
+    bounds = [None, *map(int, cuts), None] if cuts else [None, None]
+    found = []
+    for low, high in zip(bounds, bounds[1:]):
+        after = F.lit(True) if low is None else F.coalesce(micros > low, F.lit(True))
+        before = F.lit(True) if high is None else F.coalesce(micros <= high, F.lit(False))
+        found.append(rows.where(after & before))
+    return found
+
+
+def _feed(t, base, at):
+    """The source table as folders in order of time, the way a log arrives; once per session.
+
+    A folder has as many files as Spark's partitions make of it.
+    """
     key = (t.spark.sparkContext.applicationId, t.sf_dir, base)
     if key not in _feeds:
-        rows, folder = source(t.spark, t.sf_dir, base), run_folder(t.spark, f"feed-{base}")
-        shares = [i / BATCHES for i in range(1, BATCHES)]
-        micros = F.unix_micros(F.col(time_col).cast("timestamp"))
-        cuts = rows.select(micros.alias("at")).approxQuantile("at", shares, 0.01)
-        for low, high in zip([None, *cuts], [*cuts, None]):
-            part = rows.where((F.lit(low is None) | (micros > (low or 0))) & (F.lit(high is None) | (micros <= (high or 0))))
-            part.coalesce(1).write.mode("append").parquet(folder)
-        _feeds[key] = folder
+        folder = run_folder(t.spark, f"feed-{base}")
+        parts = time_parts(source(t.spark, t.sf_dir, base), F.expr(at), BATCHES)
+        for n, part in enumerate(parts):
+            part.write.parquet(f"{folder}/part-{n}")
+        _feeds[key] = folder, len(parts)
     return _feeds[key]
 
 
-def _stream(t, view, time_col):
-    """A derived usage table as a stream of several batches over its source table."""
+def _runs(t, view, at):
+    """A derived usage table as a stream, once for each folder that has arrived by then.
+
+    To drain one after the other on the same checkpoint: each is a batch after a restart.
+    """
     base, sql = VIEWS[view]
     schema = source(t.spark, t.sf_dir, base).schema
-    stream = spend.read_calls(t.spark, _feed(t, base, time_col), schema, files_per_batch=1)
-    return t.spark.sql(sql.replace(f"FROM {base}", "FROM {base}"), base=stream)
+    folder, parts = _feed(t, base, at)
+    for n in range(parts):
+        arrived = ",".join(f"part-{i}" for i in range(n + 1))
+        stream = spend.read_calls(t.spark, f"{folder}/{{{arrived}}}", schema)
+        yield t.spark.sql(sql.replace(f"FROM {base}", "FROM {base}"), base=stream)
 
 
 def _ntz(df, *columns):
@@ -47,8 +67,9 @@ SELECT date_trunc('hour', start_time) AS hour_bucket, function_name, count(*) AS
 FROM ai_function_usage GROUP BY 1, 2""",
 )
 def _(t):
-    hourly = spend.stream_hourly_spend(_stream(t, "ai_function_usage", "ts"))
-    drained = sinks.drain_updates(hourly, ["hour_bucket", "function_name"], run_folder(t.spark, "hourly-spend"))
+    folder = run_folder(t.spark, "hourly-spend")
+    for calls in _runs(t, "ai_function_usage", "ts"):
+        drained = sinks.drain_updates(spend.stream_hourly_spend(calls), ["hour_bucket", "function_name"], folder)
     return _ntz(drained, "hour_bucket")
 
 
@@ -63,9 +84,10 @@ FROM (SELECT CAST(date_trunc('month', usage_time) AS TIMESTAMP) AS month, sum({n
       FROM ai_sql_usage GROUP BY 1) monthly""",
 )
 def _(t):
-    limits = limits_table(t, ACCOUNT_LIMIT)
-    burn = spend.stream_budget_burn(_stream(t, "ai_sql_usage", "l_shipdate"), limits, F.lit("account"))
-    drained = sinks.drain_updates(burn, ["scope", "month"], run_folder(t.spark, "budget-burn"))
+    limits, folder = limits_table(t, ACCOUNT_LIMIT), run_folder(t.spark, "budget-burn")
+    for calls in _runs(t, "ai_sql_usage", USAGE_TIME):
+        burn = spend.stream_budget_burn(calls, limits, F.lit("account"))
+        drained = sinks.drain_updates(burn, ["scope", "month"], folder)
     return _ntz(drained, "month")
 
 
@@ -84,8 +106,10 @@ FROM (SELECT *, unnest(generate_series(date_trunc('hour', event_timestamp) - INT
 WHERE window_start + INTERVAL 24 HOUR <= {RELEASED} GROUP BY 1, 2""",
 )
 def _(t):
-    sliding = spend.stream_sliding_spend(_stream(t, "assistant_cli_usage", "ts"))
-    return _ntz(sinks.drain_rows(sliding, run_folder(t.spark, "sliding-spend")), "window_start", "window_end")
+    folder = run_folder(t.spark, "sliding-spend")
+    for calls in _runs(t, "assistant_cli_usage", "ts"):
+        drained = sinks.drain_rows(spend.stream_sliding_spend(calls), folder)
+    return _ntz(drained, "window_start", "window_end")
 
 
 @query(
@@ -100,7 +124,27 @@ SELECT user_id, date_trunc('minute', event_timestamp) AS minute, count(*) AS cal
 FROM assistant_cli_usage WHERE date_trunc('minute', event_timestamp) + INTERVAL 1 MINUTE <= {RELEASED} GROUP BY 1, 2)""",
 )
 def _(t):
+    folder = run_folder(t.spark, "rolling-cap")
     with spend.rocksdb_state(t.spark):
-        rolling = spend.stream_rolling_cap(_stream(t, "assistant_cli_usage", "ts"), 0.006)
-        drained = sinks.drain_rows(rolling, run_folder(t.spark, "rolling-cap"))
+        for calls in _runs(t, "assistant_cli_usage", "ts"):
+            drained = sinks.drain_rows(spend.stream_rolling_cap(calls, 0.006), folder)
     return _ntz(drained, "minute")
+
+
+@query(
+    "stream_rollup",
+    f"""
+SELECT date_trunc('hour', start_time) AS hour, user_id, function_name, model_name, count(*) AS calls,
+  {credits('credits')} AS credits_sum, min(start_time) AS first_time, max(start_time) AS last_time
+FROM ai_function_usage GROUP BY 1, 2, 3, 4""",
+)
+def _(t):
+    """Rows of the stored rollup after all batches."""
+    folder = run_folder(t.spark, "stream-rollup")
+    for calls in _runs(t, "ai_function_usage", "ts"):
+        rollup.write_rollup(calls, f"{folder}/rows", f"{folder}/checkpoint", "start_time", "credits", True).awaitTermination()
+    rows = rollup.read_rollup(t.spark, f"{folder}/rows")
+    return rows.select(
+        "hour", "user_id", "function_name", "model_name", "calls",
+        F.col("credits_sum").cast("double").alias("credits_sum"), "first_time", "last_time",
+    )

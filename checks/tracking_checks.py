@@ -1,6 +1,6 @@
 """Queries and oracles of the spend tracking reports."""
 
-from checks.catalog import query
+from checks.catalog import query, run_folder
 from checks.sql import (
     AI_TEXT,
     NOW,
@@ -16,8 +16,11 @@ from checks.sql import (
 )
 from pyspark.sql import functions as F
 from spendlens.operators import tracking
+from spendlens.plans.distinct import bitmaps_within, distinct_users, user_bitmaps
 from spendlens.plans.rollup import hourly_rollup
 from checks.fixtures import AS_OF
+from spendlens.sources.ingest import ingest
+from spendlens.sources.logs import read_log
 
 USER_TEXT = "7"
 KNOWN = f"(SELECT user_id FROM users WHERE name LIKE '%{USER_TEXT}%')"
@@ -340,3 +343,31 @@ FROM ai_function_usage c WHERE {last('start_time', 7)} AND function_name IN ('CO
 )
 def _(t):
     return tracking.model_panel(t.ai_function_usage, AS_OF, users=t.users, user_like=USER_TEXT)
+
+
+@query(
+    "distinct_users_by_function",
+    f"""
+SELECT function_name, count(DISTINCT user_id) AS unique_users FROM ai_function_usage
+WHERE start_time >= {NOW} - INTERVAL 7 DAY AND start_time < {NOW} GROUP BY 1
+UNION ALL SELECT NULL, count(DISTINCT user_id) FROM ai_function_usage
+WHERE start_time >= {NOW} - INTERVAL 7 DAY AND start_time < {NOW}""",
+)
+def _(t):
+    """Users of a week per function and of all, from hourly bitmaps."""
+    week = bitmaps_within(user_bitmaps(t.ai_function_usage, "start_time"), AS_OF, days=7)
+    none = F.lit(None).cast("string").alias("function_name")
+    return distinct_users(week, "function_name").unionByName(distinct_users(week).select(none, "unique_users"))
+
+
+@query("ingest_rounds", "SELECT query_id, user_id, CAST(credits AS DOUBLE) AS credits, start_time FROM ai_function_usage", traits=("writes",))
+def _(t):
+    """Three looks at a source whose calls arrive up to 45 minutes late, in any order."""
+    calls = t.ai_function_usage.drop("role_names")
+    lag = F.make_dt_interval(mins=F.pmod(F.xxhash64("query_id"), F.lit(45)))
+    arrived = (F.col("start_time") + lag).cast("timestamp_ntz")
+    path = run_folder(t.spark, "ingest")
+    for until in ("2024-01-11 07:13:00", "2024-01-20 18:01:00", "2100-01-01 00:00:00"):
+        seen = calls.where(arrived <= F.lit(until).cast("timestamp_ntz"))
+        ingest(seen.unionByName(seen.where("user_id % 10 = 0")), path, "start_time")
+    return read_log(t.spark, path).select("query_id", "user_id", F.col("credits").cast("double").alias("credits"), "start_time")

@@ -51,6 +51,19 @@ def hourly_rollup(log: DataFrame, time_col: str, credit_col: str) -> DataFrame:
     )
 
 
+def merged_rollups(rollups: DataFrame) -> DataFrame:
+    """The rollup of all calls from rollups of parts of them."""
+    return rollups.groupBy("hour", "user_id", "function_name", "model_name").agg(
+        F.sum("calls").alias("calls"),
+        resummed(_MARK).alias(_MARK),
+        F.min("credits_min").alias("credits_min"),
+        F.max("credits_max").alias("credits_max"),
+        F.sum("tokens_sum").alias("tokens_sum"),
+        F.min("first_time").alias("first_time"),
+        F.max("last_time").alias("last_time"),
+    ).withColumn(EVENT_DATE, F.to_date("hour"))
+
+
 @dataclass(frozen=True)
 class Usage:
     """A call log or its hourly rollup, with the measures reports are made of."""

@@ -22,7 +22,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_BUCKET = "_bucket"
+from spendlens.sources.files import Files, read_numbered
+
+#: Column and folder name of the bucket.
+BUCKET = "_bucket"
 
 
 @dataclass(frozen=True)
@@ -34,78 +37,50 @@ class Manifest:
     buckets: int
     schema: T.StructType
     folders: Mapping[int, str]
+    #: The last batch of a stream this state holds.
+    batch: int = -1
 
     def text(self) -> str:
         return json.dumps({
             "keys": self.keys, "buckets": self.buckets, "schema": self.schema.jsonValue(),
-            "folders": {str(b): f for b, f in sorted(self.folders.items())},
+            "folders": {str(b): f for b, f in sorted(self.folders.items())}, "batch": self.batch,
         })
 
     @classmethod
     def parsed(cls, number: int, text: str) -> Manifest:
         d = json.loads(text)
         folders = {int(b): f for b, f in d["folders"].items()}
-        return cls(number, tuple(d["keys"]), d["buckets"], T.StructType.fromJson(d["schema"]), folders)
-
-
-class _Files:
-    """The few file operations a manifest needs, on any store Spark can reach."""
-
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self.fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def names(self, folder: str) -> list[str]:
-        where = self._path(folder)
-        return [s.getPath().getName() for s in self.fs.listStatus(where)] if self.fs.exists(where) else []
-
-    def put(self, folder: str, name: str, text: str) -> None:
-        """Write a file under a name that must be free; it is there as a whole or not at all."""
-        beside, final = self._path(f"{folder}/.{name}.{uuid.uuid4().hex}"), self._path(f"{folder}/{name}")
-        out = self.fs.create(beside)
-        out.write(bytearray(text.encode()))
-        out.close()
-        if self.fs.exists(final) or not self.fs.rename(beside, final):
-            self.fs.delete(beside, False)
-            raise RuntimeError(f"{final}: another writer was faster; nothing was changed")
-
-    def drop(self, path: str) -> None:
-        self.fs.delete(self._path(path), True)
+        return cls(number, tuple(d["keys"]), d["buckets"], T.StructType.fromJson(d["schema"]), folders, d["batch"])
 
 
 def _folder(path: str) -> str:
     return path.rstrip("/")
 
 
-def _numbers(files: _Files, path: str) -> list[int]:
-    return sorted(int(n[:-5]) for n in files.names(f"{path}/manifests") if n.endswith(".json") and not n.startswith("."))
-
-
 def manifest(spark: SparkSession, path: str) -> Manifest:
     """The present state of a table."""
     path = _folder(path)
-    numbers = _numbers(_Files(spark, path), path)
+    numbers = Files(spark, path).numbers(f"{path}/manifests")
     if not numbers:
         raise FileNotFoundError(f"{path} holds no keyed table")
     return _at(spark, path, numbers[-1])
 
 
 def _at(spark: SparkSession, path: str, number: int) -> Manifest:
-    line = spark.read.text(f"{path}/manifests/{number:012}.json", wholetext=True).first()
-    return Manifest.parsed(number, line["value"])
+    return Manifest.parsed(number, read_numbered(spark, f"{path}/manifests", number))
 
 
-def _commit(spark: SparkSession, path: str, state: Manifest) -> None:
-    _Files(spark, path).put(f"{path}/manifests", f"{state.number:012}.json", state.text())
+def commit(spark: SparkSession, path: str, state: Manifest) -> None:
+    Files(spark, path).put(f"{path}/manifests", state.number, state.text())
 
 
-def _read(spark: SparkSession, path: str, state: Manifest, buckets: Sequence[int] | None = None) -> DataFrame:
+def read_buckets(spark: SparkSession, path: str, state: Manifest, buckets: Sequence[int] | None = None) -> DataFrame:
     """Rows of the given buckets, or of all; older copies give NULL for newer columns."""
     chosen = state.folders if buckets is None else {b: state.folders[b] for b in buckets if b in state.folders}
-    with_bucket = T.StructType([*state.schema.fields, T.StructField(_BUCKET, T.IntegerType())])
+    with_bucket = T.StructType([*state.schema.fields, T.StructField(BUCKET, T.IntegerType())])
     if not chosen:
         return spark.createDataFrame([], with_bucket)
-    folders = [f"{path}/data/{f}/{_BUCKET}={b}" for b, f in sorted(chosen.items())]
+    folders = [f"{path}/data/{f}/{BUCKET}={b}" for b, f in sorted(chosen.items())]
     # One read per copy: a folder of several copies would be two partitions of one name.
     reader = spark.read.schema(with_bucket)
     parts = [
@@ -122,12 +97,12 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def _store(rows: DataFrame, path: str, state: Manifest, touched: Sequence[int]) -> Manifest:
+def store(rows: DataFrame, path: str, state: Manifest, touched: Sequence[int]) -> Manifest:
     """Write new copies of the touched buckets; the state that counts them in, not yet committed."""
     spark, copy = rows.sparkSession, uuid.uuid4().hex
     target = f"{path}/data/{copy}"
-    rows.hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(target)
-    written = {int(n.partition("=")[2]) for n in _Files(spark, path).names(target) if n.startswith(_BUCKET)}
+    rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(target)
+    written = {int(n.partition("=")[2]) for n in Files(spark, path).names(target) if n.startswith(BUCKET)}
     kept = {b: f for b, f in state.folders.items() if b not in set(touched)}
     return replace(state, number=state.number + 1, folders=kept | {b: copy for b in written})
 
@@ -145,14 +120,14 @@ def create_keyed(df: DataFrame, path: str, keys: str | Sequence[str], buckets: i
     """Start a table with the rows of ``df``, one per key; a key may be NULL like any other."""
     path, keys = _folder(path), (keys,) if isinstance(keys, str) else tuple(keys)
     spark = df.sparkSession
-    if _numbers(_Files(spark, path), path):
+    if Files(spark, path).numbers(f"{path}/manifests"):
         raise FileExistsError(f"{path} already holds a keyed table")
-    state = Manifest(0, keys, buckets, T.StructType([replace_nullable(f) for f in df.schema]), {})
-    rows = _one_per_key(df, keys, newest).select(*df.columns, bucket_of(keys, buckets).alias(_BUCKET))
-    _commit(spark, path, _store(rows, path, state, []))
+    state = Manifest(0, keys, buckets, T.StructType([nullable(f) for f in df.schema]), {})
+    rows = _one_per_key(df, keys, newest).select(*df.columns, bucket_of(keys, buckets).alias(BUCKET))
+    commit(spark, path, store(rows, path, state, []))
 
 
-def replace_nullable(field: T.StructField) -> T.StructField:
+def nullable(field: T.StructField) -> T.StructField:
     return T.StructField(field.name, field.dataType, True)
 
 
@@ -160,7 +135,7 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     """The rows of a table as they are now."""
     path = _folder(path)
     state = manifest(spark, path)
-    return _read(spark, path, state).select(*state.schema.names)
+    return read_buckets(spark, path, state).select(*state.schema.names)
 
 
 def upsert(changes: DataFrame, path: str, newest: str | None = None, insert: bool = True) -> list[int]:
@@ -178,25 +153,25 @@ def upsert(changes: DataFrame, path: str, newest: str | None = None, insert: boo
     state = manifest(spark, path)
     keys = list(state.keys)
     known = state.schema.names
-    added = [replace_nullable(f) for f in changes.schema if f.name not in known]
+    added = [nullable(f) for f in changes.schema if f.name not in known]
     schema = T.StructType([*state.schema.fields, *added])
     types = {f.name: f.dataType for f in schema}
     new = _one_per_key(changes.select(*[F.col(c).cast(types[c]) for c in changes.columns]), keys, newest)
-    new = new.withColumn(_BUCKET, bucket_of(keys, state.buckets))
+    new = new.withColumn(BUCKET, bucket_of(keys, state.buckets))
     # Bucket numbers only, so no more rows than buckets.
-    touched = sorted(r[_BUCKET] for r in new.select(_BUCKET).distinct().collect())
+    touched = sorted(r[BUCKET] for r in new.select(BUCKET).distinct().collect())
     if not insert:
         touched = [b for b in touched if b in state.folders]
     if not touched:
         return []
     state = replace(state, schema=schema)
-    old = _read(spark, path, state, touched)
+    old = read_buckets(spark, path, state, touched)
     set_ = [c for c in changes.columns if c not in keys]
-    other = new.where(F.col(_BUCKET).isin(touched)).select(
-        *[F.col(k).alias(f"_{k}") for k in keys], F.col(_BUCKET).alias("_in"), F.lit(True).alias("_new"),
+    other = new.where(F.col(BUCKET).isin(touched)).select(
+        *[F.col(k).alias(f"_{k}") for k in keys], F.col(BUCKET).alias("_in"), F.lit(True).alias("_new"),
         *[F.col(c).alias(f"_{c}") for c in set_],
     )
-    same = F.col(_BUCKET) == F.col("_in")
+    same = F.col(BUCKET) == F.col("_in")
     for k in keys:
         same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
     met = old.withColumn("_old", F.lit(True)).join(other, same, "full" if insert else "left")
@@ -207,9 +182,9 @@ def upsert(changes: DataFrame, path: str, newest: str | None = None, insert: boo
             else F.col(c)
             for c in schema.names
         ],
-        F.coalesce(_BUCKET, "_in").alias(_BUCKET),
+        F.coalesce(BUCKET, "_in").alias(BUCKET),
     )
-    _commit(spark, path, _store(rows, path, state, touched))
+    commit(spark, path, store(rows, path, state, touched))
     return touched
 
 
@@ -220,19 +195,19 @@ def update_where(spark: SparkSession, path: str, condition: Column, values: Mapp
     """
     path = _folder(path)
     state = manifest(spark, path)
-    whole = _read(spark, path, state)
-    touched = sorted(r[_BUCKET] for r in whole.where(condition).select(_BUCKET).distinct().collect())
+    whole = read_buckets(spark, path, state)
+    touched = sorted(r[BUCKET] for r in whole.where(condition).select(BUCKET).distinct().collect())
     if not touched:
         return []
     if set(values) & set(state.keys):
         raise ValueError("keys cannot be set")
     types = {f.name: f.dataType for f in state.schema}
     hit = F.coalesce(condition, F.lit(False))
-    rows = _read(spark, path, state, touched).select(
+    rows = read_buckets(spark, path, state, touched).select(
         *[F.when(hit, values[c].cast(types[c])).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in types],
-        _BUCKET,
+        BUCKET,
     )
-    _commit(spark, path, _store(rows, path, state, touched))
+    commit(spark, path, store(rows, path, state, touched))
     return touched
 
 
@@ -242,8 +217,8 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2) -> int:
     To be run while nobody writes or reads an older state.
     """
     path = _folder(path)
-    files = _Files(spark, path)
-    numbers = _numbers(files, path)
+    files = Files(spark, path)
+    numbers = files.numbers(f"{path}/manifests")
     used = {f for n in numbers[-keep:] for f in _at(spark, path, n).folders.values()}
     for n in numbers[:-keep]:
         files.drop(f"{path}/manifests/{n:012}.json")

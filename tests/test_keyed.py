@@ -64,14 +64,14 @@ def test_update_without_insert_and_repeated_keys(spark, path):
     assert keyed.upsert(spark.createDataFrame([], "id bigint, score double"), path) == []
 
 
-@pytest.mark.parametrize("where", ["_store", "_commit"])
+@pytest.mark.parametrize("where", ["store", "commit"])
 def test_a_run_that_dies_leaves_the_old_rows(spark, path, monkeypatch, where):
     old = held(spark, path)
     changes = spark.createDataFrame([(i, 1.0) for i in range(60)], "id bigint, score double")
     real = getattr(keyed, where)
 
     def dies(*args):
-        if where == "_store":
+        if where == "store":
             real(*args)  # all files are written, nothing committed
         raise KeyboardInterrupt
 
@@ -91,7 +91,7 @@ def test_the_second_of_two_writers_changes_nothing(spark, path):
     keyed.upsert(spark.createDataFrame([(1, 1.0)], "id bigint, score double"), path)
     now = held(spark, path)
     with pytest.raises(RuntimeError, match="another writer"):
-        keyed._commit(spark, path, keyed.replace(state, number=state.number + 1, folders={}))
+        keyed.commit(spark, path, keyed.replace(state, number=state.number + 1, folders={}))
     assert held(spark, path) == now
     with pytest.raises(FileExistsError):
         keyed.create_keyed(spark.createDataFrame([], ROWS), path, "id")
