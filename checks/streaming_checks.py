@@ -6,7 +6,7 @@ from checks.sql import credits, dollars, half_up, nano_of, rounded
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from checks.fixtures import USAGE_TIME, VIEWS, source
-from spendlens.streaming import rollup, sinks, spend
+from spendlens.streaming import events, rollup, sinks, spend
 
 
 BATCHES = 3
@@ -148,3 +148,104 @@ def _(t):
         "hour", "user_id", "function_name", "model_name", "calls",
         F.col("credits_sum").cast("double").alias("credits_sum"), "first_time", "last_time",
     )
+
+
+# The SQL log released in order of time.
+LOG_RELEASED = "(SELECT max(usage_time) - INTERVAL 45 MINUTE FROM ai_sql_usage)"
+
+
+@query(
+    "stream_budget_events",
+    """
+SELECT 'account' AS scope, month, 'crossed' AS event, CAST(pct AS DOUBLE) AS threshold_pct,
+  min(usage_time) AS at, CAST(arg_min(used, usage_time) AS DOUBLE) / 1e9 AS spend, 900.0::DOUBLE AS budget
+FROM running, (VALUES (50), (75), (80), (90)) AS steps(pct) WHERE used >= 900 * pct * 10000000::HUGEINT GROUP BY month, pct
+UNION ALL
+SELECT 'account', month, 'closed', NULL, month + INTERVAL 1 MONTH, CAST(max(total) AS DOUBLE) / 1e9, 900.0
+FROM running WHERE month + INTERVAL 1 MONTH <= """ + LOG_RELEASED + " GROUP BY month",
+    f"""running AS (
+SELECT *, sum(c) OVER (PARTITION BY month ORDER BY usage_time) AS used, sum(c) OVER (PARTITION BY month) AS total
+FROM (SELECT CAST(date_trunc('month', usage_time) AS TIMESTAMP) AS month, usage_time, sum({nano_of('token_credits')}) AS c
+      FROM ai_sql_usage WHERE usage_time <= {LOG_RELEASED} GROUP BY 1, 2))""",
+)
+def _(t):
+    limits, folder = limits_table(t, ACCOUNT_LIMIT), run_folder(t.spark, "budget-events")
+    with spend.rocksdb_state(t.spark):
+        for calls in _runs(t, "ai_sql_usage", USAGE_TIME):
+            drained = sinks.drain_rows(events.stream_budget_events(calls, limits, F.lit("account")), folder)
+    return _ntz(drained, "month", "at")
+
+
+# Runs are a user's calls with no pause of more than two hours.
+RUN_SQL = f"""steps AS (
+SELECT user_id, event_timestamp AS moment, sum(total_tokens) AS tokens FROM assistant_cli_usage
+WHERE event_timestamp <= {RELEASED} GROUP BY 1, 2),
+begun AS (
+SELECT *, coalesce(moment - lag(moment) OVER w > INTERVAL 2 HOUR, true) AS begins FROM steps WINDOW w AS (PARTITION BY user_id ORDER BY moment)),
+numbered AS (
+SELECT *, sum(begins::INT) OVER (PARTITION BY user_id ORDER BY moment) AS run FROM begun),
+used AS (
+SELECT *, sum(tokens) OVER w AS tokens_used, epoch_us(moment) - epoch_us(min(moment) OVER w) AS elapsed FROM numbered
+WINDOW w AS (PARTITION BY user_id, run ORDER BY moment))"""
+
+
+@query(
+    "stream_run_budget",
+    f"""
+SELECT user_id, 'tokens' AS event, min(moment) AS at, CAST(min(tokens_used) AS BIGINT) AS tokens_used,
+  min(elapsed) / 1e6 AS seconds_used FROM used WHERE tokens_used > 1500 GROUP BY user_id, run
+UNION ALL
+SELECT user_id, 'seconds', min(moment), CAST(min(tokens_used) AS BIGINT), min(elapsed) / 1e6
+FROM used WHERE elapsed > 7200000000 GROUP BY user_id, run
+UNION ALL
+SELECT user_id, 'silent', max(moment) + INTERVAL 2 HOUR, CAST(max(tokens_used) AS BIGINT), max(elapsed) / 1e6
+FROM used GROUP BY user_id, run HAVING max(moment) + INTERVAL 2 HOUR < {RELEASED}""",
+    RUN_SQL,
+)
+def _(t):
+    folder = run_folder(t.spark, "run-budget")
+    with spend.rocksdb_state(t.spark):
+        for steps in _runs(t, "assistant_cli_usage", "ts"):
+            found = events.stream_run_budget(steps, "user_id", tokens="total_tokens", max_tokens=1500, max_seconds=7200)
+            drained = sinks.drain_rows(found, folder)
+    return _ntz(drained, "at")
+
+
+# Each third user got another limit when the log began, and the user's calls of mid-month
+# on are held against a second one.
+LIMITED = f"""minutes AS (
+SELECT user_id, date_trunc('minute', event_timestamp) AS minute, count(*) AS calls, sum({nano_of('total_credits')}) AS c
+FROM assistant_cli_usage WHERE date_trunc('minute', event_timestamp) + INTERVAL 1 MINUTE <= {RELEASED} GROUP BY 1, 2)"""
+_LIMIT = """CASE WHEN n.user_id % 3 <> 0 THEN 6000000 WHEN n.minute >= TIMESTAMP '2024-01-15 12:30:00' THEN 1000000
+  ELSE 4000000 END"""
+
+
+@query(
+    "stream_rolling_cap_limits",
+    f"""
+SELECT n.user_id, n.minute, max(n.calls) AS calls, CAST(sum(p.c) AS DOUBLE) / 1e9 AS rolling_credits,
+  CAST({_LIMIT} AS DOUBLE) / 1e9 AS credit_limit, sum(p.c) > {_LIMIT} AS over_limit
+FROM minutes n JOIN minutes p ON p.user_id = n.user_id AND p.minute > n.minute - INTERVAL 24 HOUR AND p.minute <= n.minute
+GROUP BY n.user_id, n.minute""",
+    LIMITED,
+)
+def _(t):
+    folder = run_folder(t.spark, "rolling-cap-limits")
+    users = t.assistant_cli_usage.where("user_id % 3 = 0").groupBy("user_id").agg(F.min("event_timestamp").alias("first"))
+    start = users.agg(F.min("first")).first()[0]
+
+    def change(credits, since):
+        return F.struct(
+            F.lit(credits).cast("decimal(18,9)").alias("credits"),
+            F.lit(since).cast("timestamp_ntz").alias("valid_from"),
+            F.lit(start).cast("timestamp_ntz").alias("changed_at"),
+        )
+
+    both = F.array(change("0.004", str(start)[:17] + "00"), change("0.001", "2024-01-15 12:30:00"))
+    rows = users.where("user_id % 3 = 0").select("user_id", F.explode(both).alias("c")).select("user_id", "c.*")
+    rows.write.parquet(f"{folder}/changes")
+    with spend.rocksdb_state(t.spark):
+        for calls in _runs(t, "assistant_cli_usage", "ts"):
+            changes = spend.read_calls(t.spark, f"{folder}/changes", rows.schema)
+            drained = sinks.drain_rows(events.stream_rolling_cap_limits(calls, changes, 0.006), folder)
+    return _ntz(drained, "minute")
