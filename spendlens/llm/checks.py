@@ -150,12 +150,19 @@ WITH turns AS (
   SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n
   FROM (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
         FROM conversations WHERE conv_id IS NOT NULL)
-), openings AS (
-  SELECT conv_id, min(conv_id) OVER (PARTITION BY role, text) AS first,
-    max(conv_id) OVER (PARTITION BY role, text) AS last FROM turns WHERE n = 1
+), wholes AS (
+  SELECT conv_id, list([role, text] ORDER BY n) AS whole, list([role, text] ORDER BY n)[1] AS opening
+  FROM turns GROUP BY conv_id
+), different AS (
+  SELECT opening, whole, min(conv_id) AS first, max(conv_id) AS last FROM wholes GROUP BY opening, whole
+), per_opening AS (
+  SELECT opening, arg_min(whole, first) AS head, min(first) AS first, max(first) AS other,
+    CASE WHEN arg_max(whole, last) <> arg_min(whole, first) THEN max(last) ELSE max(first) END AS last
+  FROM different GROUP BY opening
 ), partners AS (
-  SELECT conv_id, CASE WHEN conv_id <> first THEN first WHEN last <> first THEN last END AS partner_id
-  FROM openings
+  SELECT w.conv_id, CASE WHEN p.first = p.other THEN NULL WHEN w.whole = p.head THEN p.last ELSE p.first END
+    AS partner_id
+  FROM wholes w JOIN per_opening p ON w.opening = p.opening
 ), replies AS (
   SELECT conv_id, n, lag(text) OVER (PARTITION BY conv_id ORDER BY n) AS before,
     n = max(n) OVER (PARTITION BY conv_id) AS is_last FROM turns WHERE role = 'assistant'
@@ -200,7 +207,7 @@ FROM formatted f JOIN partners p ON f.conv_id = p.conv_id
 
 @query("op5_preference_format", PREFERENCE_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = preferences.paired_by_opening(table(spark, sf_dir, "conversations"), past_copies=True)
+    pairs = preferences.paired_by_opening(table(spark, sf_dir, "conversations"))
 
     def loss_chars(spans: str):
         zero = F.lit(0).cast("bigint")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlens.llm.common import fresh, stored
+from spendlens.plans.skew import hot_keys, lookup
 
 # The marks of the chat template.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
@@ -61,21 +62,43 @@ def _common_prefix(chosen: Column, rejected: Column) -> Column:
     return F.when(differ > 0, differ.cast("int") - 1).otherwise(both)
 
 
-def _loss_spans(completion: Column) -> Column:
-    """Where in the rendered completion the learnt replies and their end marks are."""
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("at"),
-        F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"),
-    )
+#: Turns whose lengths are summed at a time.
+_BLOCK = 256
+
+
+def _head(turn: Column) -> Column:
+    return F.length(F.concat(F.lit(OPEN), turn["role"], F.lit("\n")))
+
+
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0).cast("bigint"), lambda total, x: total + x)
+
+
+def _with_loss_spans(df: DataFrame, completion: str, spans: str) -> DataFrame:
+    """Where in the rendered completion the learnt replies and their end marks are.
 
-    def step(state: Column, turn: Column) -> Column:
-        head = state["at"] + F.length(F.concat(F.lit(OPEN), turn["role"], F.lit("\n")))
-        end = state["at"] + F.length(rendered(turn))
-        span = F.array(F.struct(head.alias("start"), end.alias("end")))
-        spans = F.when(turn["role"] == LEARNT, F.concat(state["spans"], span)).otherwise(state["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
+    A turn starts where all blocks of turns before its own and the turns before it in its
+    block end, so the work grows with the turns and not with their square.
+    """
+    sizes, blocks, before = fresh(df, "_sizes", "_blocks", "_before")
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    whole = F.lit(_BLOCK)
+    sized = df.withColumn(sizes, F.transform(completion, lambda t: F.length(rendered(t)).cast("bigint")))
+    numbers = F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / whole).cast("int"))
+    summed = sized.withColumn(
+        blocks, F.transform(numbers, lambda b: _sum(F.slice(sizes, b * whole + 1, whole)))
+    ).withColumn(before, F.transform(blocks, lambda x, b: _sum(F.slice(blocks, F.lit(1), b))))
+
+    def span(turn: Column, i: Column) -> Column:
+        block = F.floor(i / whole).cast("int")
+        start = F.get(before, block) + _sum(F.slice(sizes, block * whole + 1, i % whole))
+        return F.struct(
+            turn["role"].alias("role"), (start + _head(turn)).alias("start"), (start + F.get(sizes, i)).alias("end")
+        )
 
-    return F.aggregate(completion, start, step, lambda state: state["spans"])
+    learnt = F.filter(F.transform(completion, span), lambda s: s["role"] == LEARNT)
+    bare = F.transform(learnt, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    return summed.withColumn(spans, F.when(F.size(sizes) > 0, bare).otherwise(none)).drop(sizes, blocks, before)
 
 
 def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "rejected") -> DataFrame:
@@ -107,14 +130,18 @@ def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "reje
     def rest(side: str) -> Column:
         return F.slice(side, F.col(n) + 1, F.greatest(F.lit(0), F.size(side) - F.col(n)))
 
-    formatted = sides.select(
+    c, r = fresh(sides, "_chosen", "_rejected")
+    rests = sides.withColumn(c, rest(a)).withColumn(r, rest(b))
+    for completion, spans in ((c, "chosen_spans"), (r, "rejected_spans")):
+        rests = _with_loss_spans(rests, completion, spans)
+    formatted = rests.select(
         *kept,
         F.col(n).cast("bigint").alias("n_prompt_turns"),
         text(F.slice(a, F.lit(1), F.col(n))).alias("prompt"),
-        text(rest(a)).alias("chosen_completion"),
-        _loss_spans(rest(a)).alias("chosen_spans"),
-        text(rest(b)).alias("rejected_completion"),
-        _loss_spans(rest(b)).alias("rejected_spans"),
+        text(F.col(c)).alias("chosen_completion"),
+        "chosen_spans",
+        text(F.col(r)).alias("rejected_completion"),
+        "rejected_spans",
     )
     return formatted.withColumn(
         "usable",
@@ -140,60 +167,59 @@ def stale_reply(turns: Column) -> Column:
     )
 
 
-def paired_by_opening(turns: DataFrame, past_copies: bool = False) -> DataFrame:
+def paired_by_opening(turns: DataFrame) -> DataFrame:
     """One pair per conversation: itself as chosen, and a conversation with the same first turn.
 
-    The partner is the conversation of the smallest id with that opening, or for that
-    one itself the largest; ``partner_id`` is null where no other has the opening,
-    and the rejected side is then the conversation with a stale last reply.
+    Conversations of the same turns are one: no partner is a copy of its conversation.
+    The partner is the conversation of the smallest id with that opening. That one and
+    its copies take the largest id, or where that is one of them the largest of the
+    first ids of the distinct conversations. ``partner_id`` is null where nothing but copies
+    has the opening, and the rejected side is then the conversation with a stale last reply.
 
-    With ``past_copies``, conversations of the same turns are one: no partner is a copy
-    of its conversation. The copies of the smallest id take the largest id, or where
-    that is one of them the largest of the first ids of the distinct conversations;
-    and where an opening has nothing but copies, each is paired with its stale reply.
-
-    Partners come from minima and maxima per opening, so a common opening is no burden
-    to one task, and no pair is made beside these.
+    Partners come from minima and maxima per opening, so no pair is made beside these. The
+    partners' turns go to the conversations once per opening; an opening that very many
+    begin with is split over as many tasks as it has shares.
     """
-    whole = F.sha2(F.array_join(F.transform("turns", rendered), ""), 256) if past_copies else F.col("conv_id")
-    # Written out once: three uses read it, and joins of plain scans are split where
-    # one opening or partner has very many rows.
+    # Written out once: several uses read it.
     talks = stored(
         conversations(turns)
         .withColumn("opening", F.sha2(rendered(F.col("turns")[0]), 256))
-        .withColumn("whole", whole),
+        .withColumn("whole", F.sha2(F.array_join(F.transform("turns", rendered), ""), 256)),
         "conversations",
     )
     distinct = talks.groupBy("opening", "whole").agg(
-        F.min("conv_id").alias("first"), F.max("conv_id").alias("last")
+        F.min("conv_id").alias("first"), F.max("conv_id").alias("last"), F.count(F.lit(1)).alias("n")
     )
-    shared = stored(
-        distinct.groupBy("opening")
-        .agg(
+    openings = stored(
+        distinct.groupBy("opening").agg(
             F.min(F.struct("first", "whole")).alias("low"),
             F.max(F.struct("last", "whole")).alias("high"),
             F.max("first").alias("other"),
-        )
-        .where(F.col("low.first") != F.col("other"))
-        .select(
-            "opening",
-            F.col("low.whole").alias("head"),
-            F.col("low.first").alias("first"),
-            F.when(F.col("high.whole") != F.col("low.whole"), F.col("high.last"))
-            .otherwise(F.col("other")).alias("last"),
+            F.sum("n").alias("n"),
         ),
         "openings",
     )
-    partner = F.when(F.col("whole") != F.col("head"), F.col("first")).otherwise(F.col("last"))
-    named = talks.join(shared, "opening").select("conv_id", "turns", partner.alias("partner_id"))
-    others = talks.select(F.col("conv_id").alias("partner_id"), F.col("turns").alias("rejected"))
-    found = named.join(others, "partner_id").select(
-        "conv_id", "partner_id", F.col("turns").alias("chosen"), "rejected"
+    shared = openings.where(F.col("low.first") != F.col("other")).select(
+        "opening",
+        F.col("low.whole").alias("head"),
+        F.col("low.first").alias("first"),
+        F.when(F.col("high.whole") != F.col("low.whole"), F.col("high.last"))
+        .otherwise(F.col("other")).alias("last"),
+    )
+
+    def held_by(side: str) -> DataFrame:
+        return talks.select(F.col("conv_id").alias(side), F.col("turns").alias(f"{side}_turns"))
+
+    partners = stored(shared.join(held_by("first"), "first").join(held_by("last"), "last"), "partners")
+    met = lookup(
+        talks, partners.withColumn("known", F.lit(True)), "opening", hot_keys(openings, "opening", "n"), "conv_id"
     )
-    own = talks.join(shared.select("opening"), "opening", "left_anti").select(
+    own_head = F.col("whole") == F.col("head")
+    known = F.coalesce("known", F.lit(False))
+    return met.select(
         "conv_id",
-        F.lit(None).cast(talks.schema["conv_id"].dataType).alias("partner_id"),
+        F.when(known, F.when(own_head, F.col("last")).otherwise(F.col("first"))).alias("partner_id"),
         F.col("turns").alias("chosen"),
-        stale_reply(F.col("turns")).alias("rejected"),
+        F.when(known, F.when(own_head, F.col("last_turns")).otherwise(F.col("first_turns")))
+        .otherwise(stale_reply(F.col("turns"))).alias("rejected"),
     )
-    return found.unionByName(own)

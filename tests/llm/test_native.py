@@ -1,8 +1,11 @@
 """The operators of DataFrame functions alone: quality rules, licenses, preferences."""
 
+import random
 import re
 from collections import Counter
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from spendlens.llm import checks, licenses, preferences, quality
@@ -89,7 +92,7 @@ def test_preference_pairs(spark):
             (4, 0, None, None), (None, 0, u, "hi"), (5, 0, u, "hi"), (5, 1, a, "yes"), (6, None, u, "x")]
     turns = spark.createDataFrame(rows, TURNS).withColumn("chosen", F.lit(1))
     out = {r.conv_id: r for r in preferences.format_pairs(preferences.paired_by_opening(turns)).collect()}
-    assert {k: r.partner_id for k, r in out.items()} == {1: 5, 2: 1, 3: None, 4: None, 5: 1, 6: None}
+    assert {k: r.partner_id for k, r in out.items()} == {1: 2, 2: 1, 3: None, 4: None, 5: 2, 6: None}
     mark = lambda role, text: f"<|im_start|>{role}\n{text}<|im_end|>\n"
     two = out[2]
     assert two.prompt == mark(u, "hi") and two.n_prompt_turns == 1 and two.usable
@@ -97,7 +100,8 @@ def test_preference_pairs(spark):
     assert [two.chosen_completion[s.start : s.end] for s in two.chosen_spans] == ["no<|im_end|>\n"]
     assert [two.rejected_completion[s.start : s.end] for s in two.rejected_spans] == ["yes<|im_end|>\n"]
     assert out[3].n_prompt_turns == 3 and out[3].rejected_completion == mark(a, "first")
-    assert out[1].chosen_completion == out[1].rejected_completion == "" and not out[1].usable
+    assert out[1].chosen_completion == out[5].chosen_completion == mark(a, "yes") and out[1].usable
+    assert out[6].chosen_completion == out[6].rejected_completion == "" and not out[6].usable
     assert out[4].prompt == mark("unknown", "") and not out[4].usable
     assert preferences.format_pairs(preferences.paired_by_opening(turns.where("false"))).count() == 0
 
@@ -114,6 +118,49 @@ def test_no_partner_is_a_copy(spark, tmp_path):
     assert all(r.usable for r in got.values())
 
 
+def test_pairs_of_random_talks_against_sql(spark, tmp_path):
+    """Shared openings, copies, ties and rows given twice: most conversations have a partner."""
+    rng = random.Random(11)
+    talks = {}
+    for i in range(300):
+        if i and rng.random() < 0.3:
+            talks[i] = talks[rng.randrange(i)]  # a copy
+            continue
+        # A third of all begin alike.
+        opening = "hi" if rng.random() < 0.33 else f"o{rng.randrange(40)}"
+        rest = [(rng.choice(["user", "assistant", None]), rng.choice(["a", "b", "é", "", None])) for _ in range(rng.randrange(6))]
+        talks[i] = [("user", opening), *rest]
+    rows = [(i * 7 % 300, n, role, text) for i, talk in talks.items() for n, (role, text) in enumerate(talk)]
+    rows += rng.sample(rows, 50) + [(5, 1, "assistant", "tie"), (None, 0, "user", "hi"), (400, None, "user", "hi")]
+    rng.shuffle(rows)
+    spark.createDataFrame(rows, TURNS).write.parquet(f"{tmp_path}/conversations.parquet")
+    out = checks.QUERIES["op5_preference_format"](spark, str(tmp_path))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    cursor = connection.execute(checks.ORACLES["op5_preference_format"])
+    order = [d[0] for d in cursor.description]
+    want = sorted(repr(tuple(r[order.index(c)] for c in out.columns)) for r in cursor.fetchall())
+    got = out.collect()
+    assert sorted(repr(tuple(r)) for r in got) == want
+    partners = [r.partner_id for r in got]
+    assert partners.count(None) < len(partners) / 4 and any(r.usable for r in got)
+
+
+@pytest.mark.parametrize("n", [1, 255, 256, 257, 1000])
+def test_spans_of_long_talks(spark, n):
+    rng = random.Random(n)
+    talk = [(rng.choice(["user", "assistant"]), "x" * rng.randrange(5)) for _ in range(n)]
+    pairs = spark.createDataFrame([(talk, [])], "chosen array<struct<role:string,text:string>>, rejected array<struct<role:string,text:string>>")
+    row = preferences.format_pairs(pairs).first()
+    want, at = [], 0
+    for role, text in talk:
+        head, whole = len(f"<|im_start|>{role}\n"), len(f"<|im_start|>{role}\n{text}<|im_end|>\n")
+        if role == "assistant":
+            want.append((at + head, at + whole))
+        at += whole
+    assert [tuple(s) for s in row.chosen_spans] == want and row.rejected_spans == []
+
+
 def test_pairs_given_by_the_caller(spark):
     pairs = spark.createDataFrame(
         [(1, [("user", "q"), ("assistant", "a")], None), (1, None, None)],
