@@ -57,7 +57,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_NOTICE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in licenses.NOTICES)
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_NOTICE_ROWS = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in licenses.known_texts())
 LICENSE_SQL = f"""
 WITH notices(license, text) AS (VALUES {_NOTICE_ROWS}
 ), texts AS (
@@ -80,9 +84,19 @@ WITH notices(license, text) AS (VALUES {_NOTICE_ROWS}
 ), held AS (
   SELECT name, license, n, size_class * nth AS start, count(DISTINCT shingle) AS held
   FROM met GROUP BY ALL
+), short AS (
+  SELECT DISTINCT name AS license, words AS template FROM listed WHERE kind = 't' AND len(words) BETWEEN 1 AND 4
+), short_met AS (
+  SELECT d.name, s.license, greatest(0, place - 2) AS start
+  FROM (SELECT name, words, unnest(range(0, len(words))) AS place FROM listed WHERE kind = 'd') d
+  JOIN short s ON d.words[place + 1] = s.template[1]
+    AND d.words[place + 1 : place + len(s.template)] = s.template
+), hits AS (
+  SELECT name, license, held / n AS share, start FROM held WHERE held * 100 >= 80 * n
+  UNION ALL SELECT name, license, 1.0, start FROM short_met
 )
-SELECT CAST(name AS BIGINT) AS doc_id, license, max(held / n) AS containment, min(start) AS first_word
-FROM held WHERE held * 100 >= 80 * n GROUP BY name, license
+SELECT CAST(name AS BIGINT) AS doc_id, license, max(share) AS containment, min(start) AS first_word
+FROM hits GROUP BY name, license
 """
 
 

@@ -25,12 +25,13 @@ size class is written as its number of words below zero.
 from __future__ import annotations
 
 import math
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import mixed
+from spendlens.llm.common import mixed, stored
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -38,8 +39,10 @@ CONTAINMENT = 0.8
 #: Probability that a window with a template collides with it in some band.
 RETRIEVED = 0.999
 
-#: Band minima of all templates go into the scan as constants; more is an error.
-MOST_MINIMA = 1_000_000
+#: Slots of the table that marks band minima, for each of them and at most. Each minimum has
+#: eight marks, so one shingle in 10^7 passes by chance. A table at its bound fills up and
+#: lets more windows through, which are then verified like others.
+SLOTS_EACH, MOST_SLOTS = 64, 1 << 24
 
 # Wording of common license notices.
 NOTICES = (
@@ -53,12 +56,21 @@ NOTICES = (
      "modification, are permitted provided that the following conditions are met"),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("reserved", "All rights reserved."),
 )
 
+#: Whole texts of common licenses, one file each.
+TEXTS = Path(__file__).parent / "license_texts"
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """Name and wording of the notices and of the whole licenses (``MIT-text`` and so on)."""
+    files = sorted(TEXTS.glob("*.txt"))
+    return [*NOTICES, *((f"{f.stem}-text", f.read_text(encoding="utf-8")) for f in files)]
+
 
 def notices(spark: SparkSession) -> DataFrame:
-    rows = [F.struct(F.lit(a).alias("license"), F.lit(b).alias("text")) for a, b in NOTICES]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    return spark.createDataFrame(known_texts(), "license string, text string")
 
 
 def band_count(containment: float = CONTAINMENT, retrieved: float = RETRIEVED) -> int:
@@ -109,6 +121,39 @@ def _bands(hashes: Column, bands: int) -> Column:
     return F.array(*[_least(hashes, c) for c in constants])
 
 
+class _Slots:
+    """Marks of a bounded table: no hash that was put in is missed, very few others pass."""
+
+    def __init__(self, hashes: DataFrame, keys: list[str], n: int) -> None:
+        self.size = 1 << min(MOST_SLOTS.bit_length() - 1, max(15, (SLOTS_EACH * n - 1).bit_length()))
+        place = F.explode(F.array(*self._places(*[F.col(k) for k in keys])))
+        rows = (
+            hashes.select(place.alias("place")).select((F.col("place") + 1).alias("place"))
+            .groupBy(F.bitmap_bucket_number("place").alias("block"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+            .collect()  # blocks of a bounded table
+        )
+        marks = np.zeros(self.size, np.uint8)
+        for r in rows:
+            bits = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")
+            marks[(r["block"] - 1) << 15 : r["block"] << 15] = bits
+        self.marks = marks.tobytes()
+
+    def _places(self, h: Column, *more: Column) -> list[Column]:
+        """Four places from the bits of the hash and four from those of its hash."""
+        first = F.xxhash64(h, *more) if more else h
+        return [
+            F.shiftrightunsigned(word, 16 * i).bitwiseAND(F.lit(self.size - 1).cast("bigint"))
+            for word in (first, F.xxhash64(first)) for i in range(4)
+        ]
+
+    def holds(self, h: Column, *more: Column) -> Column:
+        marked = F.lit(True)
+        for place in self._places(h, *more):
+            marked &= F.substring(F.lit(self.marks), place.cast("int") + 1, F.lit(1)) == F.lit(b"\x01")
+        return marked
+
+
 def _windows(places: Column, size_class: int) -> Column:
     """Windows of a class that hold one of the places."""
     c = size_class
@@ -129,12 +174,14 @@ def _template_table(templates: DataFrame, bands: int, license_col: str, text_col
     words = templates.select(
         F.col(license_col).cast("string").alias("license"), _words(F.col(text_col)).alias("words")
     ).where(F.size("words") > 0)
+    # Written out, so that no use of a word splits its text again.
+    words = stored(words.distinct(), "license-words")
     hashed = words.withColumn("length", F.least(F.size("words"), F.lit(SHINGLE))).select(
         "license",
         "length",
         F.array_distinct(_shingles_of(F.col("words"), False, F.col("length"))).alias("template"),
         _shingles_of(F.col("words"), True, F.col("length")).alias("hashes"),
-    ).distinct()
+    )
     short = F.col("length") < SHINGLE
     size = F.ceil(F.log2(F.size("template").cast("double"))).cast("int")
     return hashed.select(
@@ -161,30 +208,31 @@ def find_licenses(
     one row for each document row and license found; documents without one give no
     row. Null and empty texts have no shingles. Templates with fewer than five words are
     found where all their words follow one another, those without words never.
-    Templates that repeat count once; two texts under one name give the better of both. Repeated document rows are reported each, null ids too.
+    Templates that repeat count once; two texts under one name give the better of both.
+    Repeated document rows are reported each, null ids too; they are told apart by their
+    place in the scan, so a table that itself depends on a shuffle should be stored first.
     Extra columns are ignored. Empty tables give no rows.
     """
     bands = band_count(containment, retrieved)
     known = _template_table(templates, bands, license_col, template_text_col)
-    rows = known.select("size_class", "minima").collect()
-    minima: dict[int, set[int]] = {}
-    for r in rows:
-        minima.setdefault(r["size_class"], set()).update(r["minima"])
-    every_minimum = sorted(set().union(*minima.values()))
-    classes = sorted(c for c in minima if c > 0)
-    lengths = sorted(-c for c in minima if c < 0)
-    if len(every_minimum) > MOST_MINIMA:
-        raise ValueError("too many templates for one scan: give them in parts")
-
-    def marked(h: Column, among: list[int]) -> Column:
-        return h.isin(*among) if among else F.lit(False)
-
-    def places(hashes: Column, among: list[int]) -> Column:
-        found = F.transform(hashes, lambda h, i: F.when(marked(h, among), F.struct(i.alias("at"), h.alias("hash"))))
+    least = known.select(F.col("size_class").cast("int").alias("size_class"), F.explode("minima").alias("h")).distinct()
+    # One row per power of two up to the longest template.
+    counted = {r["size_class"]: r["n"] for r in least.groupBy("size_class").agg(F.count(F.lit(1)).alias("n")).collect()}
+    classes = sorted(c for c in counted if c > 0)
+    lengths = sorted(-c for c in counted if c < 0)
+    n = sum(counted.values())
+    any_class = _Slots(least.where("size_class > 0"), ["h"], n)
+    by_class = _Slots(least, ["h", "size_class"], n)
+
+    def marked(h: Column, size_class: int | Column) -> Column:
+        return by_class.holds(h, F.lit(size_class).cast("int") if isinstance(size_class, int) else size_class)
+
+    def places(hashes: Column, kept) -> Column:
+        found = F.transform(hashes, lambda h, i: F.when(kept(h), F.struct(i.alias("at"), h.alias("hash"))))
         return F.filter(found, lambda p: p.isNotNull())
 
     def of_class(c: int) -> Column:
-        mine = F.filter("places", lambda p: marked(p["hash"], sorted(minima[c])))
+        mine = F.filter("places", lambda p: marked(p["hash"], c))
         return F.transform(
             _windows(F.transform(mine, lambda p: p["at"]), c),
             lambda w: F.struct(w["size_class"].alias("size_class"), w["start"].alias("start"), F.lit(None).cast("bigint").alias("hash")),
@@ -193,7 +241,7 @@ def find_licenses(
     def of_length(n: int) -> Column:
         # Windows of three shingles, as those of any one-shingle template.
         return F.transform(
-            places(_shingles(F.col("words"), True, n), sorted(minima[-n])),
+            places(_shingles(F.col("words"), True, n), lambda h: marked(h, -n)),
             lambda p: F.struct(F.lit(-n).alias("size_class"), F.greatest(F.lit(0), p["at"] - 2).alias("start"), p["hash"].alias("hash")),
         )
 
@@ -203,7 +251,7 @@ def find_licenses(
     # The row number keeps later filters above this projection: texts are hashed once.
     placed = hashed.select(
         F.monotonically_increasing_id().alias("row"), id_col, "words", "hashes",
-        places(F.col("hashes"), sorted(set().union(*[minima[c] for c in classes]))).alias("places"),
+        places(F.col("hashes"), any_class.holds).alias("places"),
         F.concat(none, *[of_length(n) for n in lengths]).alias("short"),
     )
     every = F.concat("short", *[of_class(c) for c in classes])
@@ -213,7 +261,7 @@ def find_licenses(
     windows = placed.where((F.size("places") > 0) | (F.size("short") > 0)).select(
         "row", id_col, "words", "hashes", F.explode(every).alias("window")
     ).select(
-        "row", id_col, "window.size_class", "window.start",
+        "row", id_col, F.col("window.size_class").cast("int").alias("size_class"), "window.start",
         F.slice("words", F.col("window.start") + 1, n_shingles + length - 1).alias("words"),
         F.when(whole, _bands(F.slice("hashes", F.col("window.start") + 1, n_shingles), bands))
         .otherwise(F.array("window.hash"))
@@ -221,7 +269,7 @@ def find_licenses(
     )
     hit = F.filter(
         F.transform("minima", lambda m, j: F.struct(j.alias("band"), m.alias("least"))),
-        lambda x: marked(x["least"], every_minimum),
+        lambda x: marked(x["least"], F.col("size_class")),
     )
     bands_of = known.select("license", "template", "size_class", F.posexplode("minima").alias("band", "least"))
     candidates = (

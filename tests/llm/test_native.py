@@ -5,10 +5,12 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from spendlens.llm import checks, licenses, preferences, quality
+from spendlens.llm.common import mixed
 from tests.conftest import SMALL
 
 
@@ -82,6 +84,46 @@ def test_band_count_keeps_the_promise():
     assert 1 - (1 - 0.4 / 3.1) ** n >= 0.999 > 1 - (1 - 0.4 / 3.1) ** (n - 1)
 
 
+def test_recall_of_the_bands_over_random_windows():
+    """The worst case: the smallest template of its class, just enough of it, in a full window."""
+    rng, n = np.random.default_rng(5), licenses.band_count()
+    constants = mixed(np.arange(1001, 1001 + n, dtype=np.uint64)).view(np.int64)
+    found, trials = 0, 4000
+    for _ in range(trials):
+        template = rng.integers(-(2**63), 2**63 - 1, 33)  # of class 64
+        held = rng.permutation(template)[:27]
+        window = np.concatenate((held, rng.integers(-(2**63), 2**63 - 1, 192 - 27)))
+        least = [np.min(x[:, None] ^ constants, axis=0) for x in (template, window)]
+        found += bool((least[0] == least[1]).any())
+    assert found / trials >= 0.998
+
+
+def test_whole_license_texts(spark, docs):
+    texts = dict(licenses.known_texts())
+    mit, apache = texts["MIT-text"], texts["Apache-2.0-text"]
+    rng = random.Random(3)
+    noise = lambda n: " ".join(f"w{rng.randrange(500)}" for _ in range(n))
+    lines = apache.splitlines()
+    most = "\n".join(line for i, line in enumerate(lines) if i % 40)  # a few lines are missing
+    rows = docs((1, noise(300) + mit + noise(50)), (2, mit.split(",")[0]), (3, noise(900) + most), (4, "x. All rights\nreserved, 2020"), (5, noise(2000)))
+    got = {(r[0], r.license) for r in licenses.find_licenses(rows, licenses.notices(spark)).collect()}
+    assert {(1, "MIT-text"), (1, "MIT-permission"), (3, "Apache-2.0-text"), (4, "reserved")} <= got
+    assert (2, "MIT-text") not in got and not any(i == 5 for i, _ in got)
+
+
+def test_no_template_is_too_many(spark, docs, monkeypatch):
+    """A table of marks that is full lets everything through, and the result stays the same."""
+    monkeypatch.setattr(licenses, "MOST_SLOTS", 1 << 15)
+    rng = random.Random(4)
+    table = spark.createDataFrame(
+        [(f"L{i}", " ".join(f"w{rng.randrange(60)}" for _ in range(rng.randrange(5, 12)))) for i in range(600)], "license string, text string")
+    some = [r.text for r in table.orderBy("license").limit(5).collect()]
+    rows = docs(*[(i, f"a b c {t} d e f") for i, t in enumerate(some)], (9, "nothing of these at all in this text here"))
+    got = {(r[0], r.license) for r in licenses.find_licenses(rows, table).collect()}
+    names = [r.license for r in table.orderBy("license").limit(5).collect()]
+    assert {(i, name) for i, name in enumerate(names)} <= got and all(i != 9 for i, _ in got)
+
+
 TURNS = "conv_id bigint, turn bigint, role string, text string"
 
 
