@@ -24,8 +24,12 @@ TRAITS: dict[str, frozenset[str]] = {}
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A folder for one run; a session that names no shared one gets its own."""
-    if not spark.conf.get(CHECKPOINT_DIR, None):
+    """A folder for one run in the shared folder of the session.
+
+    A session on one machine may name none and gets a temporary one; on a cluster the
+    executors could not read it, so there a missing setting is an error.
+    """
+    if not spark.conf.get(CHECKPOINT_DIR, None) and spark.sparkContext.master.startswith("local["):
         spark.conf.set(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="spendlens-"))
     return shared_folder(spark, name)
 

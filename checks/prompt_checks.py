@@ -95,27 +95,9 @@ FROM priced""",
     WORKLOADS,
 )
 def _(t):
-    recent = t.ai_sql_usage.where(
-        F.col("usage_time").between("2024-01-01 00:00:00", "2024-01-31 00:00:00")
-    )
-    workloads = (
-        recent.groupBy("model_name", "function_name")
-        .agg(
-            F.sum("tokens_granular.input").alias("i"),
-            F.sum("tokens_granular.output").alias("o"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .select(
-            F.when(F.col("function_name") == "AI_AGG", "unlisted-model")
-            .otherwise(F.col("model_name"))
-            .alias("model"),
-            "function_name",
-            F.col("model_name").alias("ran_on"),
-            F.expr("i div n").alias("prompt_tokens"),
-            F.expr("o div n").alias("response_tokens"),
-            F.expr("n div 30").alias("calls_per_day"),
-        )
-    )
+    # Calls of one function are planned on a model that has no rate.
+    planned = F.when(F.col("function_name") == "AI_AGG", "unlisted-model").otherwise(F.col("model"))
+    workloads = prompts.workloads(t.ai_sql_usage, AS_OF, 30).withColumn("ran_on", F.col("model")).withColumn("model", planned)
     return prompts.cost_plan(workloads)
 
 

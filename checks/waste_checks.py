@@ -257,24 +257,7 @@ FROM sizes""",
     SIZES,
 )
 def _(t):
-    window = F.col("usage_date").between("2024-01-01", "2024-01-31")
-    served = F.countDistinct(
-        F.when(F.col("consumption_type") == "SERVING", F.col("usage_date"))
-    )
-    sizes = (
-        t.search_daily_usage.where(window)
-        .groupBy("service_name")
-        .agg((F.sum("tokens") * 4).alias("kb"), served.alias("served"))
-        .select(
-            "service_name",
-            (F.col("kb").cast("decimal(20,0)") * F.lit(0.000001).cast("decimal(7,6)"))
-            .cast("decimal(20,6)")
-            .alias("gb"),
-            F.round(F.col("served").cast("decimal(9,0)") / 30, 4)
-            .cast("decimal(5,4)")
-            .alias("resumed_share"),
-        )
-    )
+    sizes = waste.service_sizes(t.search_daily_usage, AS_OF)
     return waste.standing_cost(sizes)
 
 

@@ -23,7 +23,7 @@ from spendlens.functions.text import (
     phrase_pattern,
     score_label,
 )
-from spendlens.functions.time import literal_like, parse_as_of
+from spendlens.functions.time import literal_like, parse_as_of, recent
 from spendlens.plans.skew import hot_keys, lookup
 from spendlens.sources.labels import LabelCache
 from spendlens.sources.rates import (
@@ -125,6 +125,30 @@ def compare_models_on_table(
     )
 
 
+def workloads(calls, as_of, days=30, time_col="usage_time") -> DataFrame:
+    """The mean call of each model and function over a window, and its calls per day.
+
+    Whole tokens and calls, cut off; the input of a plan that goes on as before.
+    """
+    whole = lambda part, by: F.call_function("div", F.col(part), by)
+    return (
+        recent(calls, time_col, as_of, days=days)
+        .groupBy("model_name", "function_name")
+        .agg(
+            F.sum("tokens_granular.input").alias("i"),
+            F.sum("tokens_granular.output").alias("o"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        .select(
+            F.col("model_name").alias("model"),
+            "function_name",
+            whole("i", F.col("n")).alias("prompt_tokens"),
+            whole("o", F.col("n")).alias("response_tokens"),
+            whole("n", F.lit(days)).alias("calls_per_day"),
+        )
+    )
+
+
 def cost_plan(
     workloads, price=PRICE_PER_CREDIT, rates: Mapping[str, Rate] = MODEL_RATES
 ) -> DataFrame:

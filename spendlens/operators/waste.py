@@ -369,6 +369,25 @@ def role_like_spend(calls, as_of, pattern="%DEV%", days=7) -> DataFrame:
     )
 
 
+def service_sizes(search, as_of, days=30, bytes_per_token=4) -> DataFrame:
+    """Size of each search service and the share of the window's days on which it served.
+
+    The size is that of the tokens the service handled in the window.
+    """
+    served = F.countDistinct(F.when(F.col("consumption_type") == "SERVING", F.col("usage_date")))
+    kb = F.col("kb").cast("decimal(20,0)")
+    return (
+        recent(search, "usage_date", as_of, days=days, whole_days=True)
+        .groupBy("service_name")
+        .agg((F.sum("tokens") * bytes_per_token).alias("kb"), served.alias("served"))
+        .select(
+            "service_name",
+            (kb * dec("0.000001")).cast("decimal(20,6)").alias("gb"),
+            F.round(F.col("served").cast("decimal(9,0)") / days, 4).cast("decimal(5,4)").alias("resumed_share"),
+        )
+    )
+
+
 def standing_cost(sizes, rate=SERVING_RATE, price=PRICE_PER_CREDIT) -> DataFrame:
     """Monthly serving cost per service from its size and resumed share.
 
