@@ -25,6 +25,7 @@ size class is written as its number of words below zero.
 from __future__ import annotations
 
 import math
+from functools import reduce
 from pathlib import Path
 
 import numpy as np
@@ -39,10 +40,8 @@ CONTAINMENT = 0.8
 #: Probability that a window with a template collides with it in some band.
 RETRIEVED = 0.999
 
-#: Slots of the table that marks band minima, for each of them and at most. Each minimum has
-#: eight marks, so one shingle in 10^7 passes by chance. A table at its bound fills up and
-#: lets more windows through, which are then verified like others.
-SLOTS_EACH, MOST_SLOTS = 64, 1 << 24
+#: Band minima that go into one scan as constants. More templates are looked for in several scans.
+MINIMA_PER_SCAN = 20_000
 
 # Wording of common license notices.
 NOTICES = (
@@ -121,39 +120,6 @@ def _bands(hashes: Column, bands: int) -> Column:
     return F.array(*[_least(hashes, c) for c in constants])
 
 
-class _Slots:
-    """Marks of a bounded table: no hash that was put in is missed, very few others pass."""
-
-    def __init__(self, hashes: DataFrame, keys: list[str], n: int) -> None:
-        self.size = 1 << min(MOST_SLOTS.bit_length() - 1, max(15, (SLOTS_EACH * n - 1).bit_length()))
-        place = F.explode(F.array(*self._places(*[F.col(k) for k in keys])))
-        rows = (
-            hashes.select(place.alias("place")).select((F.col("place") + 1).alias("place"))
-            .groupBy(F.bitmap_bucket_number("place").alias("block"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
-            .collect()  # blocks of a bounded table
-        )
-        marks = np.zeros(self.size, np.uint8)
-        for r in rows:
-            bits = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")
-            marks[(r["block"] - 1) << 15 : r["block"] << 15] = bits
-        self.marks = marks.tobytes()
-
-    def _places(self, h: Column, *more: Column) -> list[Column]:
-        """Four places from the bits of the hash and four from those of its hash."""
-        first = F.xxhash64(h, *more) if more else h
-        return [
-            F.shiftrightunsigned(word, 16 * i).bitwiseAND(F.lit(self.size - 1).cast("bigint"))
-            for word in (first, F.xxhash64(first)) for i in range(4)
-        ]
-
-    def holds(self, h: Column, *more: Column) -> Column:
-        marked = F.lit(True)
-        for place in self._places(h, *more):
-            marked &= F.substring(F.lit(self.marks), place.cast("int") + 1, F.lit(1)) == F.lit(b"\x01")
-        return marked
-
-
 def _windows(places: Column, size_class: int) -> Column:
     """Windows of a class that hold one of the places."""
     c = size_class
@@ -215,24 +181,33 @@ def find_licenses(
     """
     bands = band_count(containment, retrieved)
     known = _template_table(templates, bands, license_col, template_text_col)
-    least = known.select(F.col("size_class").cast("int").alias("size_class"), F.explode("minima").alias("h")).distinct()
-    # One row per power of two up to the longest template.
-    counted = {r["size_class"]: r["n"] for r in least.groupBy("size_class").agg(F.count(F.lit(1)).alias("n")).collect()}
-    classes = sorted(c for c in counted if c > 0)
-    lengths = sorted(-c for c in counted if c < 0)
-    n = sum(counted.values())
-    any_class = _Slots(least.where("size_class > 0"), ["h"], n)
-    by_class = _Slots(least, ["h", "size_class"], n)
-
-    def marked(h: Column, size_class: int | Column) -> Column:
-        return by_class.holds(h, F.lit(size_class).cast("int") if isinstance(size_class, int) else size_class)
-
-    def places(hashes: Column, kept) -> Column:
-        found = F.transform(hashes, lambda h, i: F.when(kept(h), F.struct(i.alias("at"), h.alias("hash"))))
+    # A template has one minimum per band at most. All texts of a name are in one scan.
+    scans = max(1, math.ceil(known.count() * bands / MINIMA_PER_SCAN))
+    found = [
+        _scan(docs, known.where(F.pmod(F.xxhash64("license"), F.lit(scans)) == i), bands, containment, id_col, text_col)
+        for i in range(scans)
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _scan(docs: DataFrame, known: DataFrame, bands: int, containment: float, id_col: str, text_col: str) -> DataFrame:
+    """One look through all documents for the given templates."""
+    minima: dict[int, set[int]] = {}
+    for r in known.select("size_class", "minima").collect():
+        minima.setdefault(r["size_class"], set()).update(r["minima"])
+    every_minimum = sorted(set().union(*minima.values()))
+    classes = sorted(c for c in minima if c > 0)
+    lengths = sorted(-c for c in minima if c < 0)
+
+    def marked(h: Column, among) -> Column:
+        return h.isin(*sorted(among)) if among else F.lit(False)
+
+    def places(hashes: Column, among) -> Column:
+        found = F.transform(hashes, lambda h, i: F.when(marked(h, among), F.struct(i.alias("at"), h.alias("hash"))))
         return F.filter(found, lambda p: p.isNotNull())
 
     def of_class(c: int) -> Column:
-        mine = F.filter("places", lambda p: marked(p["hash"], c))
+        mine = F.filter("places", lambda p: marked(p["hash"], minima[c]))
         return F.transform(
             _windows(F.transform(mine, lambda p: p["at"]), c),
             lambda w: F.struct(w["size_class"].alias("size_class"), w["start"].alias("start"), F.lit(None).cast("bigint").alias("hash")),
@@ -241,7 +216,7 @@ def find_licenses(
     def of_length(n: int) -> Column:
         # Windows of three shingles, as those of any one-shingle template.
         return F.transform(
-            places(_shingles(F.col("words"), True, n), lambda h: marked(h, -n)),
+            places(_shingles(F.col("words"), True, n), minima[-n]),
             lambda p: F.struct(F.lit(-n).alias("size_class"), F.greatest(F.lit(0), p["at"] - 2).alias("start"), p["hash"].alias("hash")),
         )
 
@@ -251,7 +226,7 @@ def find_licenses(
     # The row number keeps later filters above this projection: texts are hashed once.
     placed = hashed.select(
         F.monotonically_increasing_id().alias("row"), id_col, "words", "hashes",
-        places(F.col("hashes"), any_class.holds).alias("places"),
+        places(F.col("hashes"), set().union(*[minima[c] for c in classes])).alias("places"),
         F.concat(none, *[of_length(n) for n in lengths]).alias("short"),
     )
     every = F.concat("short", *[of_class(c) for c in classes])
@@ -269,7 +244,7 @@ def find_licenses(
     )
     hit = F.filter(
         F.transform("minima", lambda m, j: F.struct(j.alias("band"), m.alias("least"))),
-        lambda x: marked(x["least"], F.col("size_class")),
+        lambda x: marked(x["least"], every_minimum),
     )
     bands_of = known.select("license", "template", "size_class", F.posexplode("minima").alias("band", "least"))
     candidates = (
