@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from spendlens.operators import prompts
 from spendlens.sources import keyed, logs
 from spendlens.sources.labels import open_cache
+from spendlens.sources.ledger import Ledger
 from checks.fixtures import AS_OF
 
 PREFIX = "Summarize: "
@@ -263,6 +264,19 @@ def _(t):
     return prompts.new_rows_only(t.documents, held).select("doc_id", "lang")
 
 
+@query(
+    "bucketed_ledger",
+    "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND lang <> 'en'",
+    traits=("writes",),
+)
+def _(t):
+    """The round of ``ledger_round`` on the ledger with buckets and filters."""
+    ledger = Ledger(t.spark, run_folder(t.spark, "bucketed-ledger"), T.StructField("doc_id", T.LongType()), buckets=16, bits=1 << 17)
+    ledger.append(t.labels)
+    ledger.append(ledger.new_rows(t.documents).where("lang = 'en'"))
+    return ledger.new_rows(t.documents).select("doc_id", "lang")
+
+
 @query(
     "update_processed",
     """
