@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from spendlens.functions.money import credit, dec
 from spendlens.operators.controls import BUDGET_THRESHOLDS, CAP_HOURS, DAILY_LIMIT, RUN_SECONDS, RUN_TOKENS
+from spendlens.streaming.shards import Due, Lapse, Walk, walk_keys
 from spendlens.streaming.spend import LOG_DELAY, timed
 
 _NANO = 1_000_000_000
@@ -124,50 +125,37 @@ def stream_budget_events(
     )
 
 
-def _run_processor(key_type: str, max_tokens: int, max_micros: int) -> StatefulProcessor:
+def _run_steps(max_tokens: int, max_micros: int) -> tuple[Walk, Due, Lapse]:
     """Events of one run. State is its start, last step, tokens, and what was reported."""
 
-    class Run(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.handle = handle
-            self.run = handle.getValueState("run", "started bigint, last bigint, tokens bigint, told int")
+    def silent(state):
+        started, last, used, _ = state
+        return "silent", last + max_micros, used, last - started
 
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            new = pd.concat(list(rows)).sort_values("at")
-            state = self.run.get() if self.run.exists() else None
-            out = []
-            for at, tokens, done in zip(new["at"].tolist(), new["tokens"].tolist(), new["done"].tolist()):
-                if state and at - state[1] > max_micros:
-                    out.append((*key, "silent", state[1] + max_micros, state[2], state[1] - state[0]))
-                    state = None
-                started, _, used, told = state or (at, at, 0, 0)
-                used += tokens
-                if used > max_tokens and not told & 1:
-                    out.append((*key, "tokens", at, used, at - started))
-                    told |= 1
-                if at - started > max_micros and not told & 2:
-                    out.append((*key, "seconds", at, used, at - started))
-                    told |= 2
-                state = None if done else (started, at, used, told)
-            for timer in self.handle.listTimers():
-                self.handle.deleteTimer(timer)
-            if state:
-                self.run.update(state)
-                self.handle.registerTimer((state[1] + max_micros) // 1000 + 1)
-            else:
-                self.run.clear()
-            yield pd.DataFrame(out, columns=["run", "event", "at", "tokens", "elapsed"])
+    def walk(state, steps):
+        out = []
+        for at, tokens, done in steps:
+            if state and at - state[1] > max_micros:
+                out.append(silent(state))
+                state = None
+            started, _, used, told = state or (at, at, 0, 0)
+            used += tokens
+            if used > max_tokens and not told & 1:
+                out.append(("tokens", at, used, at - started))
+                told |= 1
+            if at - started > max_micros and not told & 2:
+                out.append(("seconds", at, used, at - started))
+                told |= 2
+            state = None if done else (started, at, used, told)
+        return state, out
 
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            started, last, used, _ = self.run.get()
-            self.run.clear()
-            out = [(*key, "silent", last + max_micros, used, last - started)]
-            yield pd.DataFrame(out, columns=["run", "event", "at", "tokens", "elapsed"])
+    def due(state):
+        return (state[1] + max_micros) // 1000 + 1
 
-        def close(self) -> None:
-            pass
+    def lapse(state):
+        return None, [silent(state)]
 
-    return Run()
+    return walk, due, lapse
 
 
 def stream_run_budget(
@@ -188,7 +176,6 @@ def stream_run_budget(
     begins a new run. Steps of one instant count together.
     """
     flag = F.lit(False) if done is None else F.coalesce(done, F.lit(False))
-    kind = steps.schema[run].dataType.simpleString()
     instants = (
         timed(steps, time_col, delay)
         .select("_at", F.col(run).alias("run"), F.col(tokens).cast("bigint").alias("t"), flag.alias("d"))
@@ -196,11 +183,11 @@ def stream_run_budget(
         .agg(F.coalesce(F.sum("t"), F.lit(0)).alias("tokens"), F.max("d").alias("done"))
         .select("_at", "run", F.unix_micros("_at").alias("at"), "tokens", "done")
     )
-    found = instants.groupBy("run").transformWithStateInPandas(
-        statefulProcessor=_run_processor(kind, max_tokens, round(max_seconds * 1_000_000)),
-        outputStructType=f"run {kind}, event string, at bigint, tokens bigint, elapsed bigint",
-        outputMode="append",
-        timeMode="eventtime",
+    found = walk_keys(
+        instants, ["run"], "_at", ["at", "tokens", "done"],
+        "started bigint, last bigint, tokens bigint, told int",
+        "event string, at bigint, tokens bigint, elapsed bigint",
+        *_run_steps(max_tokens, round(max_seconds * 1_000_000)),
     )
     return found.select(
         F.col("run").alias(run), "event", F.timestamp_micros("at").alias("at"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spendlens.functions.tags import tag_value
 from spendlens.operators import controls
-from spendlens.streaming import events, sinks, spend
+from spendlens.streaming import events, shards, sinks, spend
 from tests.test_streaming import SCHEMA, START, Feed, chunks, make_calls
 
 DELAY = timedelta(minutes=45)
@@ -174,3 +174,37 @@ def test_limits_that_change_while_the_stream_runs(spark, feed, tmp_path):
         want[user, m] = (float(rolling), float(cap), rolling > cap)
     assert {(r.user_id, r.minute): (r.rolling_credits, r.credit_limit, r.over_limit) for r in got} == want
     assert len(got) == len(want) and {c for _, c, _ in want.values()} == {2, 9, 4, 0.7, 0.5}
+
+
+def test_many_runs_share_calls_and_timers(spark, tmp_path):
+    """What a batch costs in calls follows the shards, not the runs."""
+    steps = [(run, START + timedelta(seconds=run % 60), run % 7, False) for run in range(3 * shards.SHARDS)]
+    steps.append((-1, START + timedelta(days=1), 1, False))
+    feed = StepFeed(spark, tmp_path / "in")
+    feed.add(steps)
+    with spend.rocksdb_state(spark):
+        found = events.stream_run_budget(feed.stream(), "run", "at", max_tokens=5)
+        query = sinks.write_rows(found, str(tmp_path / "o"), str(tmp_path / "c"), available_now=True)
+        query.awaitTermination()
+    timers = [
+        int(s["customMetrics"].get("numRegisteredTimers", 0)) for p in query.recentProgress for s in p["stateOperators"]
+    ]
+    assert 0 < sum(timers) <= shards.SHARDS
+    rows = spark.read.schema(found.schema).parquet(str(tmp_path / "o"))
+    assert sorted((r.run, r.event) for r in rows.collect()) == sorted(
+        [(r, "silent") for r, *_ in steps[:-1]] + [(r, "tokens") for r, _, t, _ in steps if t > 5]
+    )
+
+
+def test_steps_without_a_run_id_are_one_run_in_order_of_time(spark, tmp_path):
+    steps = [(None, START + timedelta(seconds=i), 10, False) for i in range(200)]
+    steps.append((1, START + timedelta(days=1), 1, False))
+    got = drain(
+        spark, StepFeed(spark, tmp_path / "in"), steps,
+        lambda s: events.stream_run_budget(s, "run", "at", max_tokens=1000), tmp_path / "o", batches=2,
+    )
+    assert sorted((r.event, r["at"], r.tokens_used) for r in got) == [
+        ("seconds", START + timedelta(seconds=121), 1220),
+        ("silent", START + timedelta(seconds=199 + 120), 2000),
+        ("tokens", START + timedelta(seconds=100), 1010),
+    ]
