@@ -195,59 +195,46 @@ def stream_run_budget(
     )
 
 
-def _cap_processor(key_names: Sequence[str], hours: int, default: int) -> StatefulProcessor:
+def _cap_minutes(hours: int, default: int) -> tuple[Walk, Due, Lapse]:
     """Rolling sums of one key against the limit in force at each minute.
 
     State is one sum per minute of the last ``hours``, and the limits that hold or will.
     """
-    names, span = list(key_names), hours * 3_600_000_000
+    span = hours * 3_600_000_000
+
+    def left(held, limits):
+        if not held and not limits:
+            return None
+        return tuple([x[i] for x in rows] for rows, n in ((held, 2), (limits, 3)) for i in range(n))
+
+    def walk(state, rows):
+        held, limits = ([*zip(*state[:2])], [*zip(*state[2:])]) if state else ([], [])
+        total, first, out = sum(n for _, n in held), 0, []
+        for minute, nano, calls, changes in rows:
+            if changes:
+                # Of two limits for one time the one set later holds.
+                limits = sorted([*limits, *[(int(c["since"]), int(c["said"]), c["nano"]) for c in changes]],
+                                key=lambda x: x[:2])
+            while len(limits) > 1 and limits[1][0] <= minute:
+                limits.pop(0)
+            if not calls:
+                continue
+            held.append((minute, nano))
+            total += nano
+            while held[first][0] <= minute - span:
+                total -= held[first][1]
+                first += 1
+            own = limits[0][2] if limits and limits[0][0] <= minute else None
+            out.append((minute, calls, total, default if own is None else own))
+        return left(held[first:], limits), out
 
-    class Cap(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.handle = handle
-            self.recent = handle.getListState("recent", "minute bigint, nano bigint")
-            self.limits = handle.getListState("limits", "since bigint, said bigint, nano bigint")
-
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            new = pd.concat(list(rows)).sort_values("minute")
-            held = [tuple(x) for x in self.recent.get()] if self.recent.exists() else []
-            limits = [tuple(x) for x in self.limits.get()] if self.limits.exists() else []
-            total, first, out = sum(n for _, n in held), 0, []
-            columns = [new[c].tolist() for c in ("minute", "nano", "calls", "changes")]
-            for minute, nano, calls, changes in zip(*columns):
-                if len(changes):
-                    # Of two limits for one time the one set later holds.
-                    limits = sorted([*limits, *[(int(c["since"]), int(c["said"]), c["nano"]) for c in changes]],
-                                    key=lambda x: x[:2])
-                while len(limits) > 1 and limits[1][0] <= minute:
-                    limits.pop(0)
-                if not calls:
-                    continue
-                held.append((minute, nano))
-                total += nano
-                while held[first][0] <= minute - span:
-                    total -= held[first][1]
-                    first += 1
-                own = limits[0][2] if limits and limits[0][0] <= minute else None
-                cap = default if own is None or pd.isna(own) else int(own)
-                out.append((*key, minute, calls, total, cap))
-            limits = [(s, a, None if n is None or pd.isna(n) else int(n)) for s, a, n in limits]
-            for state, left in ((self.recent, held[first:]), (self.limits, limits)):
-                state.put(left) if left else state.clear()
-            for timer in self.handle.listTimers():
-                self.handle.deleteTimer(timer)
-            if held[first:]:
-                self.handle.registerTimer((held[-1][0] + span) // 1000)
-            yield pd.DataFrame(out, columns=[*names, "minute", "calls", "rolling_nano", "cap"])
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            self.recent.clear()
-            return iter(())
+    def due(state):
+        return (state[0][-1] + span) // 1000 if state[0] else None
 
-        def close(self) -> None:
-            pass
+    def lapse(state):
+        return left([], [*zip(*state[2:])]), []
 
-    return Cap()
+    return walk, due, lapse
 
 
 def stream_rolling_cap_limits(
@@ -291,12 +278,11 @@ def stream_rolling_cap_limits(
             F.coalesce(_nano(F.col("c")), F.lit(0).cast("bigint")).alias("nano"), "calls", "changes",
         )
     )
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in minutes.schema if f.name in keys]
-    rolled = minutes.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_cap_processor(keys, hours, int(limit * _NANO)),
-        outputStructType=", ".join([*fields, "minute bigint, calls bigint, rolling_nano bigint, cap bigint"]),
-        outputMode="append",
-        timeMode="eventtime",
+    rolled = walk_keys(
+        minutes, keys, "released", ["minute", "nano", "calls", "changes"],
+        "minutes array<bigint>, nanos array<bigint>, since array<bigint>, said array<bigint>, limits array<bigint>",
+        "minute bigint, calls bigint, rolling_nano bigint, cap bigint",
+        *_cap_minutes(hours, int(limit * _NANO)),
     )
     return rolled.select(
         *keys,

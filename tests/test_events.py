@@ -208,3 +208,30 @@ def test_steps_without_a_run_id_are_one_run_in_order_of_time(spark, tmp_path):
         ("silent", START + timedelta(seconds=199 + 120), 2000),
         ("tokens", START + timedelta(seconds=100), 1010),
     ]
+
+
+def test_limits_of_many_users_share_calls_and_timers(spark, tmp_path):
+    """Users of a shard keep their own sums and limits; there are no more timers than shards."""
+    users = 2 * shards.SHARDS
+    last = START + timedelta(hours=3)
+    calls = [(u, START + timedelta(minutes=m), Decimal(u % 5 + 1)) for u in range(users) for m in (0, 60)]
+    feed = spark.createDataFrame([*calls, (-1, last, Decimal(1))], "user_id bigint, at timestamp_ntz, credits decimal(18,9)")
+    feed.coalesce(1).write.parquet(str(tmp_path / "in"))
+    told = [(u, Decimal(u % 3), START, START) for u in range(0, users, 2)]
+    spark.createDataFrame(told, CHANGE).coalesce(1).write.parquet(str(tmp_path / "told"))
+    read = lambda name, schema: spend.read_calls(spark, str(tmp_path / name), schema)
+    changes = spark.createDataFrame([], CHANGE).schema
+    with spend.rocksdb_state(spark):
+        found = events.stream_rolling_cap_limits(
+            read("in", feed.schema), read("told", changes), 4, time_col="at", credit_col="credits"
+        )
+        query = sinks.write_rows(found, str(tmp_path / "o"), str(tmp_path / "c"), available_now=True)
+        query.awaitTermination()
+    timers = [
+        int(s["customMetrics"].get("numRegisteredTimers", 0)) for p in query.recentProgress for s in p["stateOperators"]
+    ]
+    assert 0 < sum(timers) <= shards.SHARDS
+    rows = spark.read.schema(found.schema).parquet(str(tmp_path / "o")).withColumn("minute", F.col("minute").cast("timestamp_ntz"))
+    assert sorted((r.user_id, r.minute, r.rolling_credits, r.credit_limit) for r in rows.collect()) == sorted(
+        (u, at, float((u % 5 + 1) * (1 if at == START else 2)), float(u % 3 if u % 2 == 0 else 4)) for u, at, _ in calls
+    )
