@@ -3,8 +3,8 @@
 Rows are first put together per instant or minute and released once the watermark has
 passed them. From there on they come in order of time, so the operators below keep a
 few numbers per key and what they emit does not depend on how rows were cut into
-batches. Each key's timer ends its state. All are for append mode and are started
-inside ``spend.rocksdb_state``.
+batches. A timer ends each key's state; runs and caps share theirs by shard. All are for
+append mode and are started inside ``spend.rocksdb_state``.
 """
 
 from __future__ import annotations
